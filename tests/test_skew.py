@@ -1,0 +1,128 @@
+"""Split keys must give what one plain window gives."""
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from kinelane.operators import history, snapshot
+from kinelane.operators.kinematics import numbered, with_kinematics
+from kinelane.operators.ordered import (
+    SEG,
+    over_ordered,
+    running_total,
+    split_hot_keys,
+)
+from kinelane.plans.refresh import moving_history
+from kinelane.schema import Params
+from kinelane.sources.events import load_events, plain, readings
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def equal(left, right):
+    columns = sorted(set(left.columns) - {SEG})
+    assert columns == sorted(set(right.columns) - {SEG})
+    left, right = left.select(*columns), right.select(*columns)
+    return left.exceptAll(right).isEmpty() and right.exceptAll(left).isEmpty()
+
+
+@pytest.fixture(scope="module")
+def events(spark):
+    """A third of all rows on one vehicle, and many of them at one instant."""
+    rows = load_events(spark, SMALL)
+    hot = F.col("event_id") % 3 == 0
+    rows = rows.withColumn("user_id", F.when(hot, 4).otherwise(F.col("user_id")))
+    burst = hot & F.col("event_id").between(300, 420)
+    at = F.lit("2024-01-10 00:00:00").cast("timestamp_ntz")
+    return rows.withColumn("ts", F.when(burst, at).otherwise(F.col("ts"))).cache()
+
+
+@pytest.fixture(scope="module")
+def whole(events):
+    return readings(events).cache()
+
+
+@pytest.fixture(scope="module", params=[7, 50])
+def split(request, events):
+    rows = readings(events, segment_rows=request.param).cache()
+    assert rows.filter(F.col(SEG) >= 0).select(SEG).distinct().count() > 5
+    return rows
+
+
+def test_split_keeps_every_row(whole, split):
+    assert equal(plain(whole), plain(split))
+
+
+def test_kinematics(whole, split):
+    assert equal(with_kinematics(whole), with_kinematics(split))
+    assert equal(with_kinematics(whole, True), with_kinematics(split, True))
+
+
+def test_reading_numbers(whole, split):
+    assert equal(numbered(whole), numbered(split))
+
+
+def test_infractions(whole, split):
+    one, other = with_kinematics(whole), with_kinematics(split)
+    assert equal(history.infraction_flags(one), history.infraction_flags(other))
+    assert equal(history.banned_vehicles(one), history.banned_vehicles(other))
+
+
+@pytest.mark.parametrize("params", [Params(), Params(min_score=20), Params(min_score=1)])
+def test_dangerous_driving(whole, split, params):
+    expected = history.driving_scores(with_kinematics(whole), params)
+    scored = history.driving_scores(with_kinematics(split), params)
+    assert equal(expected, scored)
+    sums = history.window_scores(expected, params)
+    assert equal(sums, history.window_scores(scored, params, segment_rows=40))
+    severe = sums.filter(F.col("window_total") >= params.min_score).select("plate")
+    assert equal(severe, history.severe_windows(scored, params).select("plate"))
+    assert equal(severe, history.dangerous_driving(with_kinematics(whole), params))
+
+
+def test_snapshot_ignores_segments(whole, split):
+    cut = whole.agg(F.max("time")).first()[0] - 60
+    assert equal(snapshot.snapshot(whole, cut), snapshot.snapshot(split, cut))
+
+
+def test_crowded_lane(spark):
+    moving = spark.range(400).select(
+        F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("road"),
+        F.lit(1).alias("y"),
+        (F.col("id") * 37 % 101).cast("int").alias("x"),
+        F.concat(F.lit("P"), "id").alias("plate"),
+        (F.col("id") % 7).cast("int").alias("speed"),
+        (F.col("id") % 5 - 2).cast("int").alias("acc"),
+        F.when(F.col("id") % 2 == 0, 1).otherwise(-1).alias("direction"),
+    )
+    plain_flags = snapshot.with_collision_risk(moving)
+    assert equal(plain_flags, snapshot.with_collision_risk(moving, segment_rows=9))
+    assert 0 < plain_flags.filter("collision_risk = 1").count() < 400
+
+
+def test_history_with_split_plates(whole):
+    rows = plain(whole)
+    assert equal(moving_history(rows), moving_history(rows, segment_rows=20))
+
+
+def test_segments_smaller_than_the_lookback(spark):
+    rows = spark.range(40).select(F.lit("k").alias("k"), "id").withColumn(
+        SEG, (F.col("id") / 1.5).cast("int")
+    )
+
+    def compute(df, by):
+        along = Window.partitionBy(*by).orderBy("id")
+        return df.withColumns({"back": F.lag("id", 5).over(along), "on": F.lead("id", 4).over(along)})
+
+    expected = compute(rows, ["k"])
+    assert equal(expected, over_ordered(rows, ["k"], ["id"], compute, before=5, after=4))
+    total = F.sum("id").over(Window.partitionBy("k").orderBy("id"))
+    assert equal(
+        rows.withColumn("s", total), running_total(rows, ["k"], ["id"], F.col("id"), "s")
+    )
+
+
+def test_small_keys_stay_whole(spark):
+    rows = spark.range(100).withColumn("k", F.col("id") % 10)
+    assert split_hot_keys(rows, ["k"], ["id"], max_rows=10) is rows
+    assert split_hot_keys(rows, ["k"], ["id"], max_rows=1, at_most=1) is rows
