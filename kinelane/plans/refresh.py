@@ -7,7 +7,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinelane.operators import cursor as cut_off
@@ -52,11 +52,13 @@ def live_analyses(snap: DataFrame, vehicles: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def moving_history(history: DataFrame, segment_rows: int = SEGMENT_ROWS) -> DataFrame:
+def moving_history(
+    history: DataFrame, segment_rows: int = SEGMENT_ROWS, at_most: int | None = None
+) -> DataFrame:
     """Kinematics of the whole history, with plates too big for a task cut up."""
     rows = history.select("_id", *FIELDS)
-    moving = with_kinematics(split_hot_keys(rows, VEHICLE, IN_TIME, segment_rows))
-    return moving.drop("x", "direction")
+    rows = split_hot_keys(rows, VEHICLE, IN_TIME, segment_rows, at_most)
+    return with_kinematics(rows).drop("x", "direction")
 
 
 def past_analyses(
@@ -89,25 +91,22 @@ def run_once(
         seconds[name] = done - begun
         return done
 
-    def sized(df: DataFrame, counted=F.lit(1)) -> tuple[DataFrame, Observation]:
-        """Count rows while they pass, without a job for it."""
-        seen = Observation()
-        return df.observe(seen, F.count(counted).alias("rows")), seen
-
-    after_cut = F.when(F.col("time") > F.lit(float(cut)), 1)
-    window, recent_rows = sized(since(history, cut - params.lookback_seconds), after_cut)
-    newest, batch_rows = sized(snapshot(window, cut, params))
+    window = since(history, cut - params.lookback_seconds)
     started = clock.monotonic()
     # At most `latest` rows per active plate are kept, then one per plate.
-    with kept(newest) as snap, kept(with_collision_risk(with_kinematics(snap))) as vehicles:
-        for name, table in live_analyses(snap, vehicles).items():
-            started = write(name, table, started)
+    with kept(snapshot(window, cut, params)) as snap:
+        with kept(with_collision_risk(with_kinematics(snap))) as vehicles:
+            for name, table in live_analyses(snap, vehicles).items():
+                started = write(name, table, started)
         # The latest reading of each active plate is in the snapshot.
         latest = cut_off.scalar(cut_off.latest_time(snap, cut))
+        batch_rows = snap.count()
 
-    everything, history_rows = sized(history)
-    started = write("historical1", past.top_vehicles(everything, params), clock.monotonic())
-    with kept(moving_history(history, segment_rows)) as moving:
+    # Counts that read file footers, or one column of the recent days.
+    history_rows = history.count()
+    recent_rows = since(history, cut).count()
+    started = write("historical1", past.top_vehicles(history, params), clock.monotonic())
+    with kept(moving_history(history, segment_rows, at_most=history_rows)) as moving:
         for name, table in past_analyses(moving, params, as_of).items():
             started = write(name, table, started)
 
@@ -118,6 +117,6 @@ def run_once(
     stamp = spark.range(1).select(F.lit(float(cut)).alias("LastTimeStamp"))
     results.write_result(stamp, base, "lasttimestamp", run_id)
     following = cut_off.next_cut(cursor, latest, params.live_seconds)
-    sizes = tuple(seen.get["rows"] for seen in (history_rows, recent_rows, batch_rows))
+    sizes = (history_rows, recent_rows, batch_rows)
     results.commit_run(spark, base, run_id, cut, following, sizes)
     return following
