@@ -30,25 +30,27 @@ def decode(df: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> D
     if dict(df.dtypes)[value] == "binary":
         text = F.decode(text, "UTF-8")
     text = F.regexp_replace(text, r"\r?\n\z", "")
-    parts = F.split(text, ",", -1)
-    typed = [
+    parts = [
         F.get("_parts", F.lit(i)).try_cast(f.dataType).alias(f.name)
         for i, f in enumerate(SENSOR.fields)
     ]
     # Java also reads "1.5d" as a number; the wire format does not.
     number = F.get("_parts", F.lit(FIELDS.index("time"))).rlike(DECIMAL)
+    fields = F.struct(*parts, F.size("_parts").alias("_size"), number.alias("_number"))
     missing = F.lit(False)
     for c in FIELDS:
         missing = missing | F.col(c).isNull()
     reason = (
-        F.when(F.trim("_text") == "", "blank")
-        .when(F.size("_parts") < len(FIELDS), "short")
-        .when(missing | ~number, "bad_field")
+        F.when(F.trim("payload") == "", "blank")
+        .when(F.col("_size") < len(FIELDS), "short")
+        .when(missing | ~F.col("_number"), "bad_field")
     )
+    # A filter on the reason cannot move below the generator, where it would parse
+    # each line once per field.
     return (
-        df.select(*keep, text.alias("_text"), parts.alias("_parts"))
-        .select(*keep, "_text", "_parts", *typed)
-        .select(*keep, *FIELDS, F.col("_text").alias("payload"), reason.alias("reason"))
+        df.select(*keep, text.alias("payload"), F.split(text, ",", -1).alias("_parts"))
+        .select(*keep, "payload", F.inline(F.array(fields)))
+        .select(*keep, *FIELDS, "payload", reason.alias("reason"))
     )
 
 

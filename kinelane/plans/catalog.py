@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,31 @@ Query = Callable[[SparkSession, str], DataFrame]
 STOCK = Params()
 
 
+class Source(NamedTuple):
+    """The events of a query, with what one pass over them tells."""
+
+    events: DataFrame
+    n_rows: int
+    max_time: float
+
+    def rows(self) -> DataFrame:
+        return readings(self.events, at_most=self.n_rows)
+
+    def loose(self) -> DataFrame:
+        return readings(self.events, clustered=False)
+
+    @property
+    def steady(self) -> float:
+        """The cut-off a minute behind the latest reading."""
+        return self.max_time - STOCK.live_seconds
+
+
+def _measured(spark: SparkSession, sf_dir: str) -> Source:
+    events = load_events(spark, sf_dir)
+    whole = readings(events, clustered=False)
+    return Source(events, *whole.agg(F.count(F.lit(1)), F.max("time")).first())
+
+
 def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings laid out by plate, for windows over each vehicle."""
     return readings(load_events(spark, sf_dir))
@@ -32,26 +58,24 @@ def _moving(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_kinematics(_rows(spark, sf_dir))
 
 
-def _max_time(spark: SparkSession, sf_dir: str) -> float:
-    return cursor.scalar(cursor.latest_time(_loose(spark, sf_dir)))
+def _steady(source: Source) -> float:
+    return source.steady
 
 
-def _steady(spark: SparkSession, sf_dir: str) -> float:
-    """The cut-off a minute behind the latest reading."""
-    return _max_time(spark, sf_dir) - STOCK.live_seconds
+def _idle(source: Source) -> float:
+    return source.max_time
 
 
-def _first(_spark: SparkSession, _sf_dir: str) -> float:
+def _first(_source: Source) -> float:
     return cursor.start().cut
 
 
-def _snapshot(spark: SparkSession, sf_dir: str, cut=_steady, rows=_loose) -> DataFrame:
-    return snapshot.snapshot(rows(spark, sf_dir), cut(spark, sf_dir))
+def _snapshot(source: Source, cut=_steady) -> DataFrame:
+    return snapshot.snapshot(source.loose(), cut(source))
 
 
-def _vehicles(spark: SparkSession, sf_dir: str, cut=_steady) -> DataFrame:
-    bound = load_events(spark, sf_dir).count()
-    return snapshot.live_vehicles(_rows(spark, sf_dir), cut(spark, sf_dir), at_most=bound)
+def _vehicles(source: Source, cut=_steady) -> DataFrame:
+    return snapshot.live_vehicles(source.rows(), cut(source), at_most=source.n_rows)
 
 
 # --- wire and scan ---------------------------------------------------------------
@@ -97,20 +121,22 @@ def imposed_types(spark, sf_dir):
 
 
 def recent_readings(spark, sf_dir):
-    rows = snapshot.recent(_loose(spark, sf_dir), _steady(spark, sf_dir))
+    source = _measured(spark, sf_dir)
+    rows = snapshot.recent(source.loose(), source.steady)
     return rows.select("_id", "plate", "time")
 
 
 def lookback_readings(spark, sf_dir):
-    rows = snapshot.lookback(_loose(spark, sf_dir), _steady(spark, sf_dir))
+    source = _measured(spark, sf_dir)
+    rows = snapshot.lookback(source.loose(), source.steady)
     return rows.select("_id", "plate", "time")
 
 
 def reading_counts(spark, sf_dir):
     """Sizes of the whole history, its recent part and the snapshot's input."""
-    cut = _steady(spark, sf_dir)
-    time = F.col("time")
-    return _loose(spark, sf_dir).agg(
+    source = _measured(spark, sf_dir)
+    cut, time = source.steady, F.col("time")
+    return source.loose().agg(
         F.count(F.lit(1)).alias("history_rows"),
         F.count_if(time > cut).alias("recent_rows"),
         F.count_if(time > cut - STOCK.lookback_seconds).alias("lookback_rows"),
@@ -118,12 +144,14 @@ def reading_counts(spark, sf_dir):
 
 
 def active_plates(spark, sf_dir):
-    return snapshot.active_plates(_loose(spark, sf_dir), _steady(spark, sf_dir))
+    source = _measured(spark, sf_dir)
+    return snapshot.active_plates(source.loose(), source.steady)
 
 
 def _active_history(how: str) -> Query:
     def query(spark, sf_dir):
-        rows = snapshot.active_history(_loose(spark, sf_dir), _steady(spark, sf_dir), how=how)
+        source = _measured(spark, sf_dir)
+        rows = snapshot.active_history(source.loose(), source.steady, how=how)
         return rows.select("plate", "_id")
 
     return query
@@ -131,24 +159,25 @@ def _active_history(how: str) -> Query:
 
 def latest_three(spark, sf_dir):
     """The newest three readings of each active plate."""
-    return _snapshot(spark, sf_dir).select("plate", "_id", "row")
+    return _snapshot(_measured(spark, sf_dir)).select("plate", "_id", "row")
 
 
 def snapshot_kinematics(spark, sf_dir):
-    snap = _snapshot(spark, sf_dir, rows=_rows)
+    source = _measured(spark, sf_dir)
+    snap = snapshot.snapshot(source.rows(), source.steady)
     return with_kinematics(snap).select("plate", "_id", "speed", "acc")
 
 
 def collision_risk_flags(spark, sf_dir):
-    return _vehicles(spark, sf_dir).select(
+    return _vehicles(_measured(spark, sf_dir)).select(
         "plate", "road", "y", "x", "speed", "acc", "collision_risk"
     )
 
 
 def live_idle_counts(spark, sf_dir):
     """All four counts at a cut-off nothing is newer than."""
-    snap = _snapshot(spark, sf_dir, _max_time)
-    vehicles = _vehicles(spark, sf_dir, _max_time)
+    source = _measured(spark, sf_dir)
+    snap, vehicles = _snapshot(source, _idle), _vehicles(source, _idle)
     counts = [
         live.road_count(snap),
         live.vehicle_count(snap),
@@ -161,11 +190,11 @@ def live_idle_counts(spark, sf_dir):
 
 
 def _on_snapshot(analysis, cut=_steady) -> Query:
-    return lambda spark, sf_dir: analysis(_snapshot(spark, sf_dir, cut))
+    return lambda spark, sf_dir: analysis(_snapshot(_measured(spark, sf_dir), cut))
 
 
 def _on_vehicles(analysis, cut=_steady) -> Query:
-    return lambda spark, sf_dir: analysis(_vehicles(spark, sf_dir, cut))
+    return lambda spark, sf_dir: analysis(_vehicles(_measured(spark, sf_dir), cut))
 
 
 # --- history ---------------------------------------------------------------------
@@ -200,8 +229,9 @@ def infraction_flags(spark, sf_dir):
 
 def banned_vehicles_retention(spark, sf_dir):
     params = Params(retention_seconds=1800)
-    as_of = _max_time(spark, sf_dir)
-    return history.banned_vehicles(_moving(spark, sf_dir), params, as_of)
+    source = _measured(spark, sf_dir)
+    moving = with_kinematics(source.rows())
+    return history.banned_vehicles(moving, params, as_of=source.max_time)
 
 
 def driving_scores(spark, sf_dir):
@@ -234,7 +264,7 @@ def _cutoffs(pass_seconds: float) -> Query:
 
 
 def view_overspeed(spark, sf_dir):
-    return views.overspeed(live.overspeed_list(_vehicles(spark, sf_dir)))
+    return views.overspeed(live.overspeed_list(_vehicles(_measured(spark, sf_dir))))
 
 
 def view_road_stats(spark, sf_dir):

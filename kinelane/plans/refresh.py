@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import time as clock
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from functools import partial
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,6 +43,14 @@ def kept(df: DataFrame) -> Iterator[DataFrame]:
         df.unpersist()
 
 
+def together(spark: SparkSession, actions: list[Callable[[], None]]) -> None:
+    """Run independent actions as concurrent jobs; the first error is raised."""
+    with ThreadPoolExecutor(max(1, len(actions))) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(action)) for action in actions]
+        for done in running:
+            done.result()
+
+
 def live_analyses(snap: DataFrame, vehicles: DataFrame) -> dict[str, DataFrame]:
     return {
         "analysis6": live.collision_list(vehicles),
@@ -85,19 +95,22 @@ def run_once(
     seconds: dict[str, float] = {}
     cut = cursor.cut
 
-    def write(name: str, table: DataFrame, begun: float) -> float:
+    def write(name: str, table: DataFrame, begun: float) -> None:
         results.write_result(table, base, name, run_id)
-        done = clock.monotonic()
-        seconds[name] = done - begun
-        return done
+        seconds[name] = clock.monotonic() - begun
+
+    def write_all(tables: dict[str, DataFrame], begun: float) -> None:
+        """The first table alone, so that it fills the shared intermediate; then the rest."""
+        (first, table), *others = tables.items()
+        write(first, table, begun)
+        together(spark, [partial(write, n, t, clock.monotonic()) for n, t in others])
 
     window = since(history, cut - params.lookback_seconds)
-    started = clock.monotonic()
+    begun = clock.monotonic()
     # At most `latest` rows per active plate are kept, then one per plate.
     with kept(snapshot(window, cut, params)) as snap:
         with kept(with_collision_risk(with_kinematics(snap))) as vehicles:
-            for name, table in live_analyses(snap, vehicles).items():
-                started = write(name, table, started)
+            write_all(live_analyses(snap, vehicles), begun)
         # The latest reading of each active plate is in the snapshot.
         latest = cut_off.scalar(cut_off.latest_time(snap, cut))
         batch_rows = snap.count()
@@ -105,10 +118,10 @@ def run_once(
     # Counts that read file footers, or one column of the recent days.
     history_rows = history.count()
     recent_rows = since(history, cut).count()
-    started = write("historical1", past.top_vehicles(history, params), clock.monotonic())
+    write("historical1", past.top_vehicles(history, params), clock.monotonic())
+    begun = clock.monotonic()
     with kept(moving_history(history, segment_rows, at_most=history_rows)) as moving:
-        for name, table in past_analyses(moving, params, as_of).items():
-            started = write(name, table, started)
+        write_all(past_analyses(moving, params, as_of), begun)
 
     times = spark.createDataFrame(
         [(name, seconds[name]) for name in TIMED], "analysis string, time double"

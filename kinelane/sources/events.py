@@ -23,19 +23,28 @@ EPOCH = "timestamp_ntz'2024-01-01 00:00:00'"
 START = 1_685_000_000
 ROADS = 8
 
+EVENTS = (
+    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string"
+)
+
 
 def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
 
 
 def readings(
-    events: DataFrame, clustered: bool = True, segment_rows: int = SEGMENT_ROWS
+    events: DataFrame,
+    clustered: bool = True,
+    at_most: int | None = None,
+    segment_rows: int = SEGMENT_ROWS,
 ) -> DataFrame:
     """Events -> readings.
 
     ``clustered`` lays the rows out by plate, cutting plates that are too big for
     a task, so that this derivation and the windows that follow share one
     shuffle. Leave it out for queries that need neither x nor such a window.
+    ``at_most`` bounds the number of events, if the caller knows it.
     """
     # Microseconds since the epoch above, independent of the session zone.
     seconds = F.expr(f"cast(cast(ts - {EPOCH} as interval second) as decimal(20,6))")
@@ -55,7 +64,8 @@ def readings(
 
     vehicle, in_time = ["plate", "user_id"], ["_ms", "_id"]
     if clustered:
-        base = split_hot_keys(base, ["plate"], in_time, segment_rows, at_most=events.count())
+        at_most = events.count() if at_most is None else at_most
+        base = split_hot_keys(base, ["plate"], in_time, segment_rows, at_most)
         base = base.repartition(*partition_keys(base, ["plate"]))
     base = running_total(base, vehicle, in_time, F.col("_step"), "_dist")
 
