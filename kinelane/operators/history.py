@@ -65,6 +65,18 @@ def road_stats(moving: DataFrame) -> DataFrame:
     )
 
 
+def merged_road_stats(sums: DataFrame) -> DataFrame:
+    """The same from sums per road and part: ``n, speeds, sizes, still``."""
+    stats = sums.groupBy("road").agg(
+        (F.sum("speeds").cast("double") / F.sum("n")).alias("avg_speed"),
+        (F.sum("sizes").cast("double") / F.sum("n")).alias("_size"),
+        F.nullif(F.sum("still"), F.lit(0)).alias("total_collisions"),
+    )
+    return stats.select(
+        "road", "avg_speed", _time_to_cross().alias("avg_time_to_cross"), "total_collisions"
+    )
+
+
 def infraction_flags(moving: DataFrame) -> DataFrame:
     """Add ``change_in_speed``: 1 where a vehicle starts to break the limit.
 

@@ -3,12 +3,10 @@
 from __future__ import annotations
 
 import time as clock
-from collections.abc import Callable, Iterator
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterator
 from contextlib import contextmanager
 from functools import partial
 
-from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +17,8 @@ from kinelane.operators.cursor import Cursor
 from kinelane.operators.kinematics import with_kinematics
 from kinelane.operators.ordered import SEGMENT_ROWS, split_hot_keys
 from kinelane.operators.snapshot import snapshot, with_collision_risk
+from kinelane.plans import closed_days
+from kinelane.plans.shared import kept, together
 from kinelane.schema import FIELDS, IN_TIME, VEHICLE, Params
 from kinelane.sources import results
 from kinelane.sources.history import since
@@ -30,27 +30,6 @@ TABLES = (*LIVE, *PAST, "times", "lasttimestamp")
 TIMED = (*sorted(LIVE), *PAST)
 
 
-@contextmanager
-def kept(df: DataFrame) -> Iterator[DataFrame]:
-    """Keep a shared intermediate for the block, and let go of it afterwards.
-
-    Lost blocks are recomputed from lineage.
-    """
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        yield df
-    finally:
-        df.unpersist()
-
-
-def together(spark: SparkSession, actions: list[Callable[[], None]]) -> None:
-    """Run independent actions as concurrent jobs; the first error is raised."""
-    with ThreadPoolExecutor(max(1, len(actions))) as pool:
-        running = [pool.submit(inheritable_thread_target(spark)(action)) for action in actions]
-        for done in running:
-            done.result()
-
-
 def live_analyses(snap: DataFrame, vehicles: DataFrame) -> dict[str, DataFrame]:
     return {
         "analysis6": live.collision_list(vehicles),
@@ -62,25 +41,53 @@ def live_analyses(snap: DataFrame, vehicles: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def moving_history(
-    history: DataFrame, segment_rows: int = SEGMENT_ROWS, at_most: int | None = None
-) -> DataFrame:
+def moving_history(history: DataFrame, segment_rows: int = SEGMENT_ROWS) -> DataFrame:
     """Kinematics of the whole history, with plates too big for a task cut up."""
     rows = history.select("_id", *FIELDS)
-    rows = split_hot_keys(rows, VEHICLE, IN_TIME, segment_rows, at_most)
+    rows = split_hot_keys(rows, VEHICLE, IN_TIME, segment_rows)
     return with_kinematics(rows).drop("x", "direction")
 
 
 def past_analyses(
-    moving: DataFrame, params: Params, as_of: float | None = None
+    moving: DataFrame, history: DataFrame, params: Params, as_of: float | None = None
 ) -> dict[str, DataFrame]:
     return {
         "historical2": past.road_stats(moving),
+        "historical1": past.top_vehicles(history, params),
         "historical3": past.banned_vehicles(moving, params, as_of),
         "alternative": past.dangerous_driving(moving, params),
     }
 
 
+@contextmanager
+def whole_history(
+    spark: SparkSession,
+    history: DataFrame,
+    base: str,
+    params: Params,
+    as_of: float | None,
+    segment_rows: int,
+) -> Iterator[dict[str, DataFrame]]:
+    """The historical tables from a full pass over the history."""
+    with kept(moving_history(history, segment_rows)) as moving:
+        yield past_analyses(moving, history, params, as_of)
+
+
+@contextmanager
+def open_days(
+    spark: SparkSession,
+    history: DataFrame,
+    base: str,
+    params: Params,
+    as_of: float | None,
+    segment_rows: int,
+) -> Iterator[dict[str, DataFrame]]:
+    """The same from closed days and a pass over the open ones."""
+    closed = f"{base}/closed_days"
+    with closed_days.past_analyses(spark, history, closed, params, as_of, segment_rows) as tables:
+        yield tables
+
+
 def run_once(
     spark: SparkSession,
     history: DataFrame,
@@ -90,8 +97,13 @@ def run_once(
     params: Params = Params(),
     as_of: float | None = None,
     segment_rows: int = SEGMENT_ROWS,
+    historical=whole_history,
 ) -> Cursor:
-    """Compute and commit all result tables; returns the cut-off of the next run."""
+    """Compute and commit all result tables; returns the cut-off of the next run.
+
+    ``historical`` is ``whole_history``, or ``open_days`` for a history that is too
+    long to read on every run.
+    """
     seconds: dict[str, float] = {}
     cut = cursor.cut
 
@@ -116,12 +128,10 @@ def run_once(
         batch_rows = snap.count()
 
     # Counts that read file footers, or one column of the recent days.
-    history_rows = history.count()
-    recent_rows = since(history, cut).count()
-    write("historical1", past.top_vehicles(history, params), clock.monotonic())
+    history_rows, recent_rows = history.count(), since(history, cut).count()
     begun = clock.monotonic()
-    with kept(moving_history(history, segment_rows, at_most=history_rows)) as moving:
-        write_all(past_analyses(moving, params, as_of), begun)
+    with historical(spark, history, base, params, as_of, segment_rows) as tables:
+        write_all(tables, begun)
 
     times = spark.createDataFrame(
         [(name, seconds[name]) for name in TIMED], "analysis string, time double"

@@ -66,7 +66,7 @@ def commit_run(
 
 def run_log(spark: SparkSession, base: str) -> DataFrame:
     """All committed runs; a run committed twice counts once."""
-    if not _exists(spark, f"{base}/runs"):
+    if not exists(spark, f"{base}/runs"):
         return spark.createDataFrame([], RUNS)
     return spark.read.schema(RUNS).parquet(f"{base}/runs").dropDuplicates(["run_id"])
 
@@ -116,6 +116,11 @@ def _path(spark: SparkSession, path: str):
     return spark._jvm.org.apache.hadoop.fs.Path(path)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     target = _path(spark, path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    target = _path(spark, path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

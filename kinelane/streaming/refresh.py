@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from kinelane.operators.cursor import Cursor
-from kinelane.plans.refresh import TABLES, run_once
+from kinelane.plans.refresh import TABLES, open_days, run_once
 from kinelane.schema import Params
 from kinelane.sources import results
 from kinelane.streaming.ingest import EVERY
@@ -20,6 +20,7 @@ def refresh(
     base: str,
     params: Params = Params(),
     as_of: float | None = None,
+    historical=open_days,
 ) -> Cursor:
     """One pass: continue from the run log, compute, commit, drop old tables.
 
@@ -27,7 +28,9 @@ def refresh(
     pass is a batch over the history as it is now. ``read`` lists it anew.
     """
     run_id, cursor = results.next_run(spark, base)
-    following = run_once(spark, read(spark), base, run_id, cursor, params, as_of)
+    following = run_once(
+        spark, read(spark), base, run_id, cursor, params, as_of, historical=historical
+    )
     results.prune_results(spark, base, list(TABLES))
     return following
 

@@ -34,19 +34,24 @@ def events(spark):
     rows = rows.withColumn("user_id", F.when(hot, 4).otherwise(F.col("user_id")))
     burst = hot & F.col("event_id").between(300, 420)
     at = F.lit("2024-01-10 00:00:00").cast("timestamp_ntz")
-    return rows.withColumn("ts", F.when(burst, at).otherwise(F.col("ts"))).cache()
+    rows = rows.withColumn("ts", F.when(burst, at).otherwise(F.col("ts"))).cache()
+    yield rows
+    rows.unpersist()
 
 
 @pytest.fixture(scope="module")
 def whole(events):
-    return readings(events).cache()
+    rows = readings(events).cache()
+    yield rows
+    rows.unpersist()
 
 
 @pytest.fixture(scope="module", params=[7, 50])
 def split(request, events):
     rows = readings(events, segment_rows=request.param).cache()
     assert rows.filter(F.col(SEG) >= 0).select(SEG).distinct().count() > 5
-    return rows
+    yield rows
+    rows.unpersist()
 
 
 def test_split_keeps_every_row(whole, split):
