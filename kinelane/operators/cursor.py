@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from kinelane.operators.ordered import SEG, over_ordered
+from kinelane.operators.ordered import SEG, own, pad
 from kinelane.operators.snapshot import recent
 
 PASSES_PER_SEGMENT = 100_000
@@ -65,15 +65,16 @@ def changes(log: DataFrame, run: str = "run_id", first: float = 0.0) -> DataFram
     is windowed in stretches of them, so no task gets all of it.
     """
 
-    def compute(rows: DataFrame, by: list[str]) -> DataFrame:
-        before = F.lag("cut", 1).over(Window.partitionBy(*by).orderBy(run))
-        return rows.withColumn("_before", F.coalesce(before, F.lit(float(first))))
-
-    stretches = log.withColumn(SEG, F.floor(F.col(run) / PASSES_PER_SEGMENT).cast("int"))
-    compared = over_ordered(stretches, [], [run], compute, before=1)
+    line = pad(_stretches(log, run), [], [run], before=1)
+    before = F.lag("cut", 1).over(Window.partitionBy(SEG).orderBy(run))
+    compared = own(line.withColumn("_before", F.coalesce(before, F.lit(float(first)))))
     return compared.filter(F.col("cut") != F.col("_before")).drop("_before", SEG)
 
 
+def _stretches(log: DataFrame, run: str) -> DataFrame:
+    return log.withColumn(SEG, F.floor(F.col(run) / PASSES_PER_SEGMENT).cast("int"))
+
+
 def replay(df: DataFrame, pass_seconds: float, window: float = 60.0) -> DataFrame:
     """The run log a loop would leave that passes over the history every so often.
 
@@ -86,12 +87,10 @@ def replay(df: DataFrame, pass_seconds: float, window: float = 60.0) -> DataFram
         F.max("time").alias("_max")
     )
 
-    def compute(rows: DataFrame, by: list[str]) -> DataFrame:
-        following = F.lead("run_id").over(Window.partitionBy(*by).orderBy("run_id"))
-        return rows.withColumn("_idle", F.coalesce(following > F.col("run_id") + 1, F.lit(False)))
-
-    stretches = passes.withColumn(SEG, F.floor(F.col("run_id") / PASSES_PER_SEGMENT).cast("int"))
-    known = over_ordered(stretches, [], ["run_id"], compute, after=1, pin=True)
+    line = pad(_stretches(passes, "run_id"), [], ["run_id"], after=1)
+    following = F.lead("run_id").over(Window.partitionBy(SEG).orderBy("run_id"))
+    gap = F.coalesce(following > F.col("run_id") + 1, F.lit(False))
+    known = own(line.withColumn("_idle", gap))
     busy = known.select("run_id", (F.col("_max") - window).alias("cut"))
     idle = known.filter("_idle").select(F.col("run_id") + 1, F.col("_max"))
     return busy.union(idle)

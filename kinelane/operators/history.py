@@ -8,9 +8,13 @@ from pyspark.sql.window import Window
 
 from kinelane.functions import rules
 from kinelane.operators.ordered import (
+    COPY,
     SEG,
     SEGMENT_ROWS,
-    over_ordered,
+    own,
+    pad,
+    partition_keys,
+    pinned,
     running_total,
     split_hot_keys,
 )
@@ -29,7 +33,7 @@ def _mean(column: str) -> Column:
 
 
 def road_means(moving: DataFrame) -> DataFrame:
-    means = moving.groupBy("road").agg(
+    means = own(moving).groupBy("road").agg(
         _mean("speed").alias("avg_speed"), _mean("road_size").alias("_size")
     )
     return means.select("road", "avg_speed", _time_to_cross().alias("avg_time_to_cross"))
@@ -42,7 +46,7 @@ def _time_to_cross() -> Column:
 
 def road_collisions(moving: DataFrame) -> DataFrame:
     return (
-        moving.filter(rules.standing_still())
+        own(moving).filter(rules.standing_still())
         .groupBy("road")
         .agg(F.count(F.lit(1)).alias("total_collisions"))
     )
@@ -55,7 +59,7 @@ def road_stats_joined(moving: DataFrame) -> DataFrame:
 
 def road_stats(moving: DataFrame) -> DataFrame:
     """The same in one pass; null where a road has no collision."""
-    stats = moving.groupBy("road").agg(
+    stats = own(moving).groupBy("road").agg(
         _mean("speed").alias("avg_speed"),
         _mean("road_size").alias("_size"),
         F.nullif(F.count_if(rules.standing_still()), F.lit(0)).alias("total_collisions"),
@@ -82,13 +86,9 @@ def infraction_flags(moving: DataFrame) -> DataFrame:
 
     A plate's first row has no speed before it, and counts if it is too fast.
     """
-
-    def compute(rows: DataFrame, by: list[str]) -> DataFrame:
-        previous = F.lag("speed").over(Window.partitionBy(*by).orderBy(*IN_TIME))
-        starts = rules.starts_infraction(previous)
-        return rows.withColumn("change_in_speed", rules.flag(starts))
-
-    return over_ordered(moving, VEHICLE, IN_TIME, compute, before=1, pin=True)
+    along = Window.partitionBy(*partition_keys(moving, VEHICLE)).orderBy(*IN_TIME)
+    starts = rules.starts_infraction(F.lag("speed").over(along))
+    return own(moving.withColumn("change_in_speed", rules.flag(starts)))
 
 
 def banned_vehicles(
@@ -118,13 +118,9 @@ def driving_scores(moving: DataFrame, params: Params = Params()) -> DataFrame:
     The band comes first, so its first reading never counts as a lane change.
     """
     inside = (F.col("time") > params.band_start) & (F.col("time") < params.band_end)
-
-    def compute(rows: DataFrame, by: list[str]) -> DataFrame:
-        lane_before = F.lag("y").over(Window.partitionBy(*by).orderBy(*IN_TIME))
-        return rows.withColumn("changed_lane", rules.flag(F.col("y") != lane_before))
-
-    banded = moving.filter(inside)
-    banded = over_ordered(banded, VEHICLE, IN_TIME, compute, before=1, pin=True)
+    along = Window.partitionBy(*partition_keys(moving, VEHICLE)).orderBy(*IN_TIME)
+    changed = F.col("y") != F.lag("y").over(along)
+    banded = own(moving.filter(inside).withColumn("changed_lane", rules.flag(changed)))
     scored = banded.withColumns({
         "over_road_speed": rules.flag(rules.over_limit(), 3),
         "over_acc": rules.flag(rules.harsh(params.harsh_acc), 3),
@@ -144,6 +140,11 @@ def dangerous_driving(
     return plates.distinct() if distinct else plates
 
 
+def reach(params: Params) -> int:
+    """Scored readings around one that settle whether its window reaches the limit."""
+    return max(0, params.min_score - 1)
+
+
 def severe_windows(scored: DataFrame, params: Params = Params()) -> DataFrame:
     """Scored readings from which the next 60 s, both ends included, reach the limit.
 
@@ -151,20 +152,18 @@ def severe_windows(scored: DataFrame, params: Params = Params()) -> DataFrame:
     frame stays that short however dense the readings are. Readings at the same
     time belong to the window too, also those sorted before the current one.
     """
-    reach = max(0, params.min_score - 1)
-
-    def compute(rows: DataFrame, by: list[str]) -> DataFrame:
-        along = Window.partitionBy(*by).orderBy(*IN_TIME)
-        score = F.col("total")
-        until = F.col("time") + params.score_window_seconds
-        for n in range(1, reach + 1):
-            ahead, behind = F.lead("time", n).over(along), F.lag("time", n).over(along)
-            score += F.when(ahead <= until, F.lead("total", n).over(along)).otherwise(0)
-            score += F.when(behind == F.col("time"), F.lag("total", n).over(along)).otherwise(0)
-        return rows.withColumn("several_infractions", score >= params.min_score)
-
-    windows = over_ordered(scored, VEHICLE, IN_TIME, compute, reach, reach, pin=True)
-    return windows.filter("several_infractions")
+    far = reach(params)
+    if SEG in scored.columns and COPY not in scored.columns:
+        scored = pad(scored, VEHICLE, IN_TIME, before=far, after=far)
+    along = Window.partitionBy(*partition_keys(scored, VEHICLE)).orderBy(*IN_TIME)
+    time, until = F.col("time"), F.col("time") + params.score_window_seconds
+    score = F.col("total")
+    for n in range(1, far + 1):
+        ahead, behind = F.lead("time", n).over(along), F.lag("time", n).over(along)
+        score += F.when(ahead <= until, F.lead("total", n).over(along)).otherwise(0)
+        score += F.when(behind == time, F.lag("total", n).over(along)).otherwise(0)
+    flagged = scored.withColumn("several_infractions", score >= params.min_score)
+    return own(flagged).filter("several_infractions")
 
 
 def window_scores(
@@ -201,7 +200,7 @@ def _window_scores_split(
         mark(time + params.score_window_seconds, 2, nothing),
     )
     along = ["at", "kind", "_id"]
-    line = scored.checkpoint().select("_id", "plate", F.inline(marks))
+    line = pinned(scored).select("_id", "plate", F.inline(marks))
     line = split_hot_keys(line, VEHICLE, along, segment_rows)
     sums = running_total(line, VEHICLE, along, F.col("add"), "_sum")
     sign = F.when(F.col("kind") == 2, F.col("_sum")).when(F.col("kind") == 0, -F.col("_sum"))

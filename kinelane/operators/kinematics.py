@@ -6,35 +6,35 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from kinelane.operators.ordered import over_ordered, running_total
+from kinelane.operators.ordered import own, partition_keys, running_total
 from kinelane.schema import FIELDS, IN_TIME, VEHICLE
 
+# Rows back that speed, acceleration and then the speed of the row before need.
+LOOKS_BACK = 3
+
 
 def with_kinematics(df: DataFrame, per_second: bool = False) -> DataFrame:
     """Add ``speed`` (unsigned change of x) and ``acc`` (change of speed).
 
     Both are per reading by default; ``per_second`` divides by the time between
     readings. Rows with a null in any sensor column, speed or acc are dropped, so
-    the first two readings of a plate go.
+    the first two readings of a plate go. Split frames keep their copies, for the
+    windows that follow.
     """
-
-    def compute(rows: DataFrame, by: list[str]) -> DataFrame:
-        along = Window.partitionBy(*by).orderBy(*IN_TIME)
-        columns = ["x", "time"] if per_second else ["x"]
-        # All lags share one window, hence one exchange and one sort.
-        back = {f"_{c}{n}": F.lag(c, n).over(along) for c in columns for n in (1, 2)}
-        rows = rows.withColumns(back)
-        speed, speed_before = F.abs(F.col("x") - F.col("_x1")), F.abs(F.col("_x1") - F.col("_x2"))
-        if per_second:
-            speed = F.try_divide(speed, F.col("time") - F.col("_time1"))
-            speed_before = F.try_divide(speed_before, F.col("_time1") - F.col("_time2"))
-        return rows.withColumns({"speed": speed, "acc": speed - speed_before}).drop(*back)
-
-    moving = over_ordered(df, VEHICLE, IN_TIME, compute, before=2)
+    along = Window.partitionBy(*partition_keys(df, VEHICLE)).orderBy(*IN_TIME)
+    columns = ["x", "time"] if per_second else ["x"]
+    # All lags share one window, hence one exchange and one sort.
+    back = {f"_{c}{n}": F.lag(c, n).over(along) for c in columns for n in (1, 2)}
+    rows = df.withColumns(back)
+    speed, speed_before = F.abs(F.col("x") - F.col("_x1")), F.abs(F.col("_x1") - F.col("_x2"))
+    if per_second:
+        speed = F.try_divide(speed, F.col("time") - F.col("_time1"))
+        speed_before = F.try_divide(speed_before, F.col("_time1") - F.col("_time2"))
+    moving = rows.withColumns({"speed": speed, "acc": speed - speed_before}).drop(*back)
     return moving.dropna(subset=[*FIELDS, "speed", "acc"])
 
 
 def numbered(df: DataFrame) -> DataFrame:
     """Number the readings of each plate in ``row``, oldest first."""
-    counted = running_total(df, VEHICLE, IN_TIME, F.lit(1), "row")
+    counted = own(running_total(df, VEHICLE, IN_TIME, F.lit(1), "row"))
     return counted.withColumn("row", F.col("row").cast("int"))

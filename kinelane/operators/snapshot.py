@@ -11,8 +11,9 @@ from kinelane.operators.kinematics import with_kinematics
 from kinelane.operators.ordered import (
     SEG,
     SEGMENT_ROWS,
-    ensure_checkpoint_dir,
-    over_ordered,
+    own,
+    partition_keys,
+    pinned,
     split_hot_keys,
 )
 from kinelane.schema import VEHICLE, Params
@@ -51,7 +52,7 @@ def latest_readings(df: DataFrame, n: int) -> DataFrame:
     per plate however many that plate has.
     """
     newest_first = Window.partitionBy(*VEHICLE).orderBy(F.desc("time"), F.desc("_id"))
-    numbered = df.drop(SEG).withColumn("row", F.row_number().over(newest_first))
+    numbered = own(df).drop(SEG).withColumn("row", F.row_number().over(newest_first))
     return numbered.filter(F.col("row") <= n)
 
 
@@ -79,16 +80,12 @@ def with_collision_risk(
     is a known bound on its rows.
     """
     lane, along = ["road", "y"], ["x", "plate"]
-
-    def compute(rows: DataFrame, by: list[str]) -> DataFrame:
-        window = Window.partitionBy(*by).orderBy(*along)
-        spot = F.col("x") + F.col("speed") + F.col("acc")
-        mirrored = F.col("x") - F.col("speed") - F.col("acc")
-        risk = rules.reaches(F.lead(spot).over(window), F.lag(mirrored).over(window))
-        return rows.withColumn("collision_risk", rules.flag(risk))
-
-    lanes = split_hot_keys(moving, lane, along, segment_rows, at_most)
-    flagged = over_ordered(lanes, lane, along, compute, before=1, after=1)
+    lanes = split_hot_keys(moving, lane, along, segment_rows, at_most, before=1, after=1)
+    window = Window.partitionBy(*partition_keys(lanes, lane)).orderBy(*along)
+    spot = F.col("x") + F.col("speed") + F.col("acc")
+    mirrored = F.col("x") - F.col("speed") - F.col("acc")
+    risk = rules.reaches(F.lead(spot).over(window), F.lag(mirrored).over(window))
+    flagged = own(lanes.withColumn("collision_risk", rules.flag(risk)))
     return flagged.select(*moving.columns, "collision_risk")
 
 
@@ -102,6 +99,5 @@ def live_vehicles(
     """
     moving = with_kinematics(snapshot(df, cut, params))
     if at_most is None or at_most > SEGMENT_ROWS:
-        ensure_checkpoint_dir(df.sparkSession)
-        moving, at_most = moving.checkpoint(), None
+        moving, at_most = pinned(moving), None
     return with_collision_risk(moving, at_most)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from kinelane.functions import payload
 from kinelane.operators import cursor, history, live, snapshot, views
 from kinelane.operators.kinematics import numbered, with_kinematics
+from kinelane.operators.ordered import own
 from kinelane.schema import FIELDS, Params
 from kinelane.sources.events import load_events, plain, readings
 
@@ -86,17 +87,17 @@ def all_readings(spark, sf_dir):
 
 
 def payload_lines(spark, sf_dir):
-    return payload.encode(_rows(spark, sf_dir))
+    return payload.encode(plain(_rows(spark, sf_dir)))
 
 
 def payload_roundtrip(spark, sf_dir):
-    lines = payload.encode(_rows(spark, sf_dir))
+    lines = payload.encode(plain(_rows(spark, sf_dir)))
     return payload.accepted(payload.decode(lines)).select(*FIELDS)
 
 
 def payload_rejects(spark, sf_dir):
     """Every 97th line cut short, every 89th with text in a number."""
-    rows = _rows(spark, sf_dir)
+    rows = plain(_rows(spark, sf_dir))
     lines = payload.encode(rows.withColumn("road", F.concat("road", F.lit(":"), "_id")))
     line_id = F.split_part(F.split_part("value", F.lit(","), F.lit(1)), F.lit(":"), F.lit(2))
     damaged = (
@@ -110,7 +111,7 @@ def payload_rejects(spark, sf_dir):
 
 def imposed_types(spark, sf_dir):
     """Text columns, blank padded as in a warehouse, cast back to sensor types."""
-    rows = _rows(spark, sf_dir)
+    rows = plain(_rows(spark, sf_dir))
     padded = rows.select(
         "_id", *[F.rpad(F.col(c).cast("string"), 40, " ").alias(c) for c in FIELDS]
     )
@@ -201,12 +202,12 @@ def _on_vehicles(analysis, cut=_steady) -> Query:
 
 
 def history_kinematics(spark, sf_dir):
-    return _moving(spark, sf_dir).select("_id", "plate", "speed", "acc")
+    return own(_moving(spark, sf_dir)).select("_id", "plate", "speed", "acc")
 
 
 def history_speed_per_second(spark, sf_dir):
     moving = with_kinematics(_rows(spark, sf_dir), per_second=True)
-    return moving.select("_id", "plate", "speed")
+    return own(moving).select("_id", "plate", "speed")
 
 
 def reading_numbers(spark, sf_dir):

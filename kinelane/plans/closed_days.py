@@ -21,17 +21,17 @@ from pyspark.sql import types as T
 from kinelane.functions import rules
 from kinelane.operators import history as past
 from kinelane.operators.cursor import scalar
-from kinelane.operators.kinematics import with_kinematics
-from kinelane.operators.ordered import SEGMENT_ROWS, split_hot_keys
+from kinelane.operators.kinematics import LOOKS_BACK, with_kinematics
+from kinelane.operators.ordered import SEGMENT_ROWS, own, split_hot_keys
 from kinelane.operators.snapshot import latest_readings
 from kinelane.plans.shared import kept, together
 from kinelane.schema import IN_TIME, READING, VEHICLE, Params, with_event_date
-from kinelane.sources.results import exists, remove
+from kinelane.sources.files import exists, remove
 
 DAY = 86400
 
-# Speed, acceleration and the flags of a reading look at most this far back.
-CARRIED = 3
+# The last readings of a plate that the flags of its next one depend on.
+CARRIED = LOOKS_BACK
 
 ADDED_UP = ("roads", "pairs", "infractions", "severe")
 LATEST_ONLY = ("tails", "open_scores")
@@ -137,7 +137,8 @@ def _parts(
     fresh = days.select(*names)
     line = carried.withColumn("_new", F.lit(False)).union(fresh.withColumn("_new", F.lit(True)))
     bound = line.count()  # from file footers
-    moving = with_kinematics(split_hot_keys(line, VEHICLE, IN_TIME, segment_rows, bound))
+    split = split_hot_keys(line, VEHICLE, IN_TIME, segment_rows, bound, before=LOOKS_BACK)
+    moving = with_kinematics(split)
     with kept(moving.drop("x", "direction")) as moving:
         new = F.col("_new")
         starts = past.infraction_flags(moving).filter(new & (F.col("change_in_speed") == 1))
@@ -146,9 +147,12 @@ def _parts(
         line_scores = _read(spark, base, closed, "open_scores").select(*scores)
         with kept(line_scores.unionByName(scored.select(*scores))) as line_scores:
             few = bound if bound <= segment_rows else None
-            windows = split_hot_keys(line_scores, VEHICLE, IN_TIME, segment_rows, few)
+            far = past.reach(params)
+            windows = split_hot_keys(
+                line_scores, VEHICLE, IN_TIME, segment_rows, few, before=far, after=far
+            )
             yield {
-                "roads": moving.filter(new).groupBy("road").agg(
+                "roads": own(moving).filter(new).groupBy("road").agg(
                     F.count(F.lit(1)).alias("n"),
                     F.sum(F.col("speed").cast("bigint")).alias("speeds"),
                     F.sum(F.col("road_size").cast("bigint")).alias("sizes"),

@@ -14,8 +14,8 @@ from kinelane.operators import cursor as cut_off
 from kinelane.operators import history as past
 from kinelane.operators import live
 from kinelane.operators.cursor import Cursor
-from kinelane.operators.kinematics import with_kinematics
-from kinelane.operators.ordered import SEGMENT_ROWS, split_hot_keys
+from kinelane.operators.kinematics import LOOKS_BACK, with_kinematics
+from kinelane.operators.ordered import SEGMENT_ROWS, scratch_tables, split_hot_keys
 from kinelane.operators.snapshot import snapshot, with_collision_risk
 from kinelane.plans import closed_days
 from kinelane.plans.shared import kept, together
@@ -44,7 +44,7 @@ def live_analyses(snap: DataFrame, vehicles: DataFrame) -> dict[str, DataFrame]:
 def moving_history(history: DataFrame, segment_rows: int = SEGMENT_ROWS) -> DataFrame:
     """Kinematics of the whole history, with plates too big for a task cut up."""
     rows = history.select("_id", *FIELDS)
-    rows = split_hot_keys(rows, VEHICLE, IN_TIME, segment_rows)
+    rows = split_hot_keys(rows, VEHICLE, IN_TIME, segment_rows, before=LOOKS_BACK)
     return with_kinematics(rows).drop("x", "direction")
 
 
@@ -120,7 +120,7 @@ def run_once(
     window = since(history, cut - params.lookback_seconds)
     begun = clock.monotonic()
     # At most `latest` rows per active plate are kept, then one per plate.
-    with kept(snapshot(window, cut, params)) as snap:
+    with scratch_tables(spark), kept(snapshot(window, cut, params)) as snap:
         with kept(with_collision_risk(with_kinematics(snap))) as vehicles:
             write_all(live_analyses(snap, vehicles), begun)
         # The latest reading of each active plate is in the snapshot.
@@ -130,8 +130,9 @@ def run_once(
     # Counts that read file footers, or one column of the recent days.
     history_rows, recent_rows = history.count(), since(history, cut).count()
     begun = clock.monotonic()
-    with historical(spark, history, base, params, as_of, segment_rows) as tables:
-        write_all(tables, begun)
+    with scratch_tables(spark):
+        with historical(spark, history, base, params, as_of, segment_rows) as tables:
+            write_all(tables, begun)
 
     times = spark.createDataFrame(
         [(name, seconds[name]) for name in TIMED], "analysis string, time double"

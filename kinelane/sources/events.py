@@ -9,10 +9,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kinelane.operators.kinematics import LOOKS_BACK
 from kinelane.operators.ordered import (
+    COPY,
     SEG,
     SEGMENT_ROWS,
-    partition_keys,
+    own,
     running_total,
     split_hot_keys,
 )
@@ -65,9 +67,11 @@ def readings(
     vehicle, in_time = ["plate", "user_id"], ["_ms", "_id"]
     if clustered:
         at_most = events.count() if at_most is None else at_most
-        base = split_hot_keys(base, ["plate"], in_time, segment_rows, at_most)
-        base = base.repartition(*partition_keys(base, ["plate"]))
-    base = running_total(base, vehicle, in_time, F.col("_step"), "_dist")
+        base = split_hot_keys(
+            base, ["plate"], in_time, segment_rows, at_most, before=LOOKS_BACK
+        )
+    layout = ["plate"] if clustered else []
+    base = running_total(base, vehicle, in_time, F.col("_step"), "_dist", layout)
 
     road_id = F.expr(
         f"cast((user_id * 7 + _ms div (600000 * (1 + user_id % 5))) % {ROADS} as int)"
@@ -82,7 +86,7 @@ def readings(
         "plate",
         (F.lit(START).cast("double") + F.col("_ms").cast("double") / 1000).alias("time"),
         "direction",
-        *[c for c in base.columns if c == SEG],
+        *[c for c in base.columns if c in (SEG, COPY)],
     )
 
 
@@ -97,4 +101,4 @@ def mirrored(x, y, lanes):
 
 def plain(rows: DataFrame) -> DataFrame:
     """The stored columns only, in their order."""
-    return rows.select(*READING.fieldNames())
+    return own(rows).select(*READING.fieldNames())

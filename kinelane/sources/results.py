@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kinelane.operators.cursor import Cursor, changes, start
+from kinelane.sources import files
 
 RUNS = T.StructType([
     T.StructField("run_id", T.LongType()),
@@ -66,7 +67,7 @@ def commit_run(
 
 def run_log(spark: SparkSession, base: str) -> DataFrame:
     """All committed runs; a run committed twice counts once."""
-    if not exists(spark, f"{base}/runs"):
+    if not files.exists(spark, f"{base}/runs"):
         return spark.createDataFrame([], RUNS)
     return spark.read.schema(RUNS).parquet(f"{base}/runs").dropDuplicates(["run_id"])
 
@@ -102,25 +103,7 @@ def prune_results(spark: SparkSession, base: str, names: list[str], keep: int =
     if run is None:
         return
     for name in names:
-        folder = _path(spark, f"{base}/{name}")
-        files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-        if not files.exists(folder):
-            continue
-        for status in files.listStatus(folder):
-            label, _, number = status.getPath().getName().partition("=")
+        for entry in files.names(spark, f"{base}/{name}"):
+            label, _, number = entry.partition("=")
             if label == "run_id" and int(number) <= run.run_id - keep:
-                files.delete(status.getPath(), True)
-
-
-def _path(spark: SparkSession, path: str):
-    return spark._jvm.org.apache.hadoop.fs.Path(path)
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    target = _path(spark, path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    target = _path(spark, path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+                files.remove(spark, f"{base}/{name}/{entry}")

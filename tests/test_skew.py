@@ -7,11 +7,16 @@ from pyspark.sql.window import Window
 from kinelane.operators import history, snapshot
 from kinelane.operators.kinematics import numbered, with_kinematics
 from kinelane.operators.ordered import (
+    COPY,
     SEG,
-    over_ordered,
+    own,
+    pad,
+    partition_keys,
     running_total,
+    scratch_tables,
     split_hot_keys,
 )
+from kinelane.sources import files
 from kinelane.plans.refresh import moving_history
 from kinelane.schema import Params
 from kinelane.sources.events import load_events, plain, readings
@@ -20,8 +25,9 @@ SMALL = "/root/testdata/sf0.001"
 
 
 def equal(left, right):
-    columns = sorted(set(left.columns) - {SEG})
-    assert columns == sorted(set(right.columns) - {SEG})
+    columns = sorted(set(left.columns) - {SEG, COPY})
+    assert columns == sorted(set(right.columns) - {SEG, COPY})
+    left, right = own(left), own(right)
     left, right = left.select(*columns), right.select(*columns)
     return left.exceptAll(right).isEmpty() and right.exceptAll(left).isEmpty()
 
@@ -115,16 +121,40 @@ def test_segments_smaller_than_the_lookback(spark):
         SEG, (F.col("id") / 1.5).cast("int")
     )
 
-    def compute(df, by):
-        along = Window.partitionBy(*by).orderBy("id")
-        return df.withColumns({"back": F.lag("id", 5).over(along), "on": F.lead("id", 4).over(along)})
+    def looked(df):
+        along = Window.partitionBy(*partition_keys(df, ["k"])).orderBy("id")
+        near = {"back": F.lag("id", 5).over(along), "on": F.lead("id", 4).over(along)}
+        return df.withColumns(near)
 
-    expected = compute(rows, ["k"])
-    assert equal(expected, over_ordered(rows, ["k"], ["id"], compute, before=5, after=4))
+    assert equal(looked(rows.drop(SEG)), looked(pad(rows, ["k"], ["id"], before=5, after=4)))
     total = F.sum("id").over(Window.partitionBy("k").orderBy("id"))
-    assert equal(
-        rows.withColumn("s", total), running_total(rows, ["k"], ["id"], F.col("id"), "s")
+    summed = rows.withColumn("s", total)
+    assert equal(summed, running_total(rows, ["k"], ["id"], F.col("id"), "s"))
+    padded = pad(rows, ["k"], ["id"], before=3)
+    assert equal(summed, running_total(padded, ["k"], ["id"], F.col("id"), "s", ["k"]))
+
+
+def test_copies_carry_their_totals(spark):
+    """Several keys share the segments; copies may belong to a key with no row there."""
+    rows = spark.range(60).select(
+        F.lit("p").alias("p"), (F.xxhash64("id") % 4).alias("k"), "id",
+        (F.col("id") / 5).cast("int").alias(SEG),
     )
+    total = F.sum("id").over(Window.partitionBy("p", "k").orderBy("id"))
+    totals = {r.id: r.s for r in rows.withColumn("s", total).collect()}
+    padded = pad(rows, ["p"], ["id"], before=3)
+    summed = running_total(padded, ["p", "k"], ["id"], F.col("id"), "s", ["p"]).collect()
+    assert len(summed) == 60 + 11 * 3
+    assert all(r.s == totals[r.id] for r in summed)
+
+
+def test_scratch_tables_go(spark, events):
+    tables = f"{files.shared_folder(spark)}/tables"
+    before = files.names(spark, tables)
+    with scratch_tables(spark):
+        readings(events, segment_rows=50)
+        assert len(files.names(spark, tables)) > len(before)
+    assert files.names(spark, tables) == before
 
 
 def test_small_keys_stay_whole(spark):
