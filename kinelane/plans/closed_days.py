@@ -27,6 +27,7 @@ from kinelane.operators.snapshot import latest_readings
 from kinelane.plans.shared import kept, together
 from kinelane.schema import IN_TIME, READING, VEHICLE, Params, with_event_date
 from kinelane.sources.files import exists, remove
+from kinelane.sources.results import literal_rows
 
 DAY = 86400
 
@@ -193,8 +194,8 @@ def close(
         rest = [p for p in parts if p != "roads"]
         together(spark, [lambda p=p: write(p) for p in rest])
     n_rows = _upto(history, through).count()
-    entry = [(closed.generation, through, n_rows, _settings(params))]
-    spark.createDataFrame(entry, LOG).coalesce(1).write.mode("append").parquet(f"{base}/log")
+    entry = (closed.generation, through, n_rows, _settings(params))
+    literal_rows(spark, [entry], LOG).write.mode("append").parquet(f"{base}/log")
     if not closed.steps and closed.generation:
         remove(spark, f"{base}/generation={closed.generation - 1}")
     return Closed(closed.generation, (*closed.steps, through), n_rows, _settings(params))

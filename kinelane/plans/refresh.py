@@ -124,8 +124,7 @@ def run_once(
         with kept(with_collision_risk(with_kinematics(snap))) as vehicles:
             write_all(live_analyses(snap, vehicles), begun)
         # The latest reading of each active plate is in the snapshot.
-        latest = cut_off.scalar(cut_off.latest_time(snap, cut))
-        batch_rows = snap.count()
+        latest, batch_rows = snap.agg(F.max("time"), F.count(F.lit(1))).first()
 
     # Counts that read file footers, or one column of the recent days.
     history_rows, recent_rows = history.count(), since(history, cut).count()
@@ -134,10 +133,9 @@ def run_once(
         with historical(spark, history, base, params, as_of, segment_rows) as tables:
             write_all(tables, begun)
 
-    times = spark.createDataFrame(
-        [(name, seconds[name]) for name in TIMED], "analysis string, time double"
-    )
-    results.write_result(times.coalesce(1), base, "times", run_id)
+    report = [(name, seconds[name]) for name in TIMED]
+    times = results.literal_rows(spark, report, results.TIMES)
+    results.write_result(times, base, "times", run_id)
     stamp = spark.range(1).select(F.lit(float(cut)).alias("LastTimeStamp"))
     results.write_result(stamp, base, "lasttimestamp", run_id)
     following = cut_off.next_cut(cursor, latest, params.live_seconds)

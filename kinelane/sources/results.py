@@ -14,6 +14,11 @@ from pyspark.sql import types as T
 from kinelane.operators.cursor import Cursor, changes, start
 from kinelane.sources import files
 
+TIMES = T.StructType([
+    T.StructField("analysis", T.StringType()),
+    T.StructField("time", T.DoubleType()),
+])
+
 RUNS = T.StructType([
     T.StructField("run_id", T.LongType()),
     T.StructField("cut", T.DoubleType()),
@@ -29,6 +34,16 @@ def _folder(base: str, name: str, run_id: int) -> str:
     return f"{base}/{name}/run_id={run_id}"
 
 
+def literal_rows(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """A few driver-side values as a one-partition frame, without a Python worker."""
+
+    def typed(row: tuple):
+        fields = zip(row, schema.fields)
+        return F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in fields])
+
+    return spark.range(1).select(F.inline(F.array(*[typed(row) for row in rows]))).coalesce(1)
+
+
 def write_result(
     df: DataFrame,
     base: str,
@@ -61,8 +76,8 @@ def commit_run(
     ``cursor`` is where the next run starts; ``sizes`` are the rows of the history,
     of its recent part and of the snapshot.
     """
-    row = [(run_id, float(cut), float(cursor.cut), cursor.last_max, *sizes)]
-    spark.createDataFrame(row, RUNS).coalesce(1).write.mode("append").parquet(f"{base}/runs")
+    row = (run_id, float(cut), float(cursor.cut), cursor.last_max, *sizes)
+    literal_rows(spark, [row], RUNS).write.mode("append").parquet(f"{base}/runs")
 
 
 def run_log(spark: SparkSession, base: str) -> DataFrame:
