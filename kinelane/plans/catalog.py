@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from kinelane.functions import payload
 from kinelane.operators import cursor, history, live, snapshot, views
 from kinelane.operators.kinematics import numbered, with_kinematics
-from kinelane.operators.ordered import own
+from kinelane.operators.ordered import own, pinned
 from kinelane.schema import FIELDS, Params
 from kinelane.sources.events import load_events, plain, readings
 
@@ -272,6 +272,49 @@ def view_road_stats(spark, sf_dir):
     return views.road_stats(history.road_stats(_moving(spark, sf_dir)))
 
 
+# --- split keys ------------------------------------------------------------------
+
+
+def _just_below_biggest(df: DataFrame, keys: list[str]) -> int:
+    """A segment size that splits the biggest keys of ``df`` and leaves the others."""
+    biggest = df.groupBy(*keys).count().agg(F.max("count")).first()[0]
+    return max(1, int(biggest * 0.95) - 1)
+
+
+def _split_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings whose busiest plates are cut into segments, as big ones would be."""
+    size = _just_below_biggest(_loose(spark, sf_dir), ["plate"])
+    return readings(load_events(spark, sf_dir), segment_rows=size)
+
+
+def readings_split(spark, sf_dir):
+    return plain(_split_rows(spark, sf_dir))
+
+
+def infraction_flags_split(spark, sf_dir):
+    flags = history.infraction_flags(with_kinematics(_split_rows(spark, sf_dir)))
+    return flags.select("_id", "plate", "change_in_speed")
+
+
+def dangerous_driving_split(spark, sf_dir):
+    return history.dangerous_driving(with_kinematics(_split_rows(spark, sf_dir)))
+
+
+def window_scores_split(spark, sf_dir):
+    return history.window_scores(
+        history.driving_scores(with_kinematics(_split_rows(spark, sf_dir)))
+    )
+
+
+def collision_risk_split(spark, sf_dir):
+    source = _measured(spark, sf_dir)
+    moving = pinned(with_kinematics(snapshot.snapshot(source.rows(), source.steady)))
+    size = _just_below_biggest(moving, ["road", "y"])
+    return snapshot.with_collision_risk(moving, segment_rows=size).select(
+        "plate", "road", "y", "x", "speed", "acc", "collision_risk"
+    )
+
+
 QUERIES: dict[str, Query] = {
     "readings": all_readings,
     "payload_lines": payload_lines,
@@ -323,4 +366,9 @@ QUERIES: dict[str, Query] = {
     "cutoff_changes_idle": _cutoffs(0.5),
     "view_overspeed": view_overspeed,
     "view_road_stats": view_road_stats,
+    "readings_split": readings_split,
+    "infraction_flags_split": infraction_flags_split,
+    "dangerous_driving_split": dangerous_driving_split,
+    "window_scores_split": window_scores_split,
+    "collision_risk_split": collision_risk_split,
 }
