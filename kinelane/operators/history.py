@@ -156,20 +156,28 @@ def severe_windows(scored: DataFrame, params: Params = Params()) -> DataFrame:
     if SEG in scored.columns and COPY not in scored.columns:
         scored = pad(scored, VEHICLE, IN_TIME, before=far, after=far)
     along = Window.partitionBy(*partition_keys(scored, VEHICLE)).orderBy(*IN_TIME)
+    pair, steps = F.struct("time", "total"), range(1, far + 1)
+    near = {f"_ahead{n}": F.lead(pair, n).over(along) for n in steps}
+    near |= {f"_behind{n}": F.lag(pair, n).over(along) for n in steps}
     time, until = F.col("time"), F.col("time") + params.score_window_seconds
     score = F.col("total")
-    for n in range(1, far + 1):
-        ahead, behind = F.lead("time", n).over(along), F.lag("time", n).over(along)
-        score += F.when(ahead <= until, F.lead("total", n).over(along)).otherwise(0)
-        score += F.when(behind == time, F.lag("total", n).over(along)).otherwise(0)
-    flagged = scored.withColumn("several_infractions", score >= params.min_score)
-    return own(flagged).filter("several_infractions")
+    for n in steps:
+        ahead, behind = F.col(f"_ahead{n}"), F.col(f"_behind{n}")
+        score += F.when(ahead["time"] <= until, ahead["total"]).otherwise(0)
+        score += F.when(behind["time"] == time, behind["total"]).otherwise(0)
+    flagged = scored.withColumns(near).withColumn(
+        "several_infractions", score >= params.min_score
+    )
+    return own(flagged.drop(*near)).filter("several_infractions")
 
 
 def window_scores(
     scored: DataFrame, params: Params = Params(), segment_rows: int = SEGMENT_ROWS
 ) -> DataFrame:
-    """The sum of each 60 s window itself: ``_id, plate, window_total``."""
+    """The sum of each 60 s window itself: ``_id, plate, window_total``.
+
+    Unlike the flag, this costs more the more readings a window holds.
+    """
     if SEG in scored.columns:
         return _window_scores_split(scored, params, segment_rows)
     ahead = (

@@ -9,7 +9,8 @@ from pyspark.sql.window import Window
 from kinelane.operators.ordered import own, partition_keys, running_total
 from kinelane.schema import FIELDS, IN_TIME, VEHICLE
 
-# Rows back that speed, acceleration and then the speed of the row before need.
+# Rows back that speed, acceleration and then the speed of the row before need, in a
+# history without incomplete readings, which ingestion keeps out.
 LOOKS_BACK = 3
 
 

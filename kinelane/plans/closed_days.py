@@ -131,13 +131,14 @@ def _parts(
     closed: Closed,
     params: Params,
     segment_rows: int,
+    n_rows: int,
 ) -> Iterator[dict[str, DataFrame]]:
-    """The tables for the days that follow the closed ones."""
+    """The tables for the days, of ``n_rows`` rows, that follow the closed ones."""
     names = READING.fieldNames()
     carried = _read(spark, base, closed, "tails").select(*names)
     fresh = days.select(*names)
     line = carried.withColumn("_new", F.lit(False)).union(fresh.withColumn("_new", F.lit(True)))
-    bound = line.count()  # from file footers
+    bound = n_rows + carried.count()
     split = split_hot_keys(line, VEHICLE, IN_TIME, segment_rows, bound, before=LOOKS_BACK)
     moving = with_kinematics(split)
     with kept(moving.drop("x", "direction")) as moving:
@@ -182,7 +183,8 @@ def close(
     days = _upto(_after(history, closed.through), through)
     # A window that starts this late may still get readings of the next day.
     settled = F.col("time") < (through + 1) * DAY - params.score_window_seconds
-    with _parts(spark, days, base, closed, params, segment_rows) as parts:
+    added = days.count()  # from file footers, like all row counts of a history
+    with _parts(spark, days, base, closed, params, segment_rows, added) as parts:
         parts["severe"] = parts["severe"].filter(settled).select("plate")
         parts["open_scores"] = parts["open_scores"].filter(~settled)
 
@@ -193,7 +195,7 @@ def close(
         write("roads")
         rest = [p for p in parts if p != "roads"]
         together(spark, [lambda p=p: write(p) for p in rest])
-    n_rows = _upto(history, through).count()
+    n_rows = closed.n_rows + added
     entry = (closed.generation, through, n_rows, _settings(params))
     literal_rows(spark, [entry], LOG).write.mode("append").parquet(f"{base}/log")
     if not closed.steps and closed.generation:
@@ -210,10 +212,11 @@ def past_analyses(
     as_of: float | None = None,
     segment_rows: int = SEGMENT_ROWS,
     open_days: int = 2,
-) -> Iterator[dict[str, DataFrame]]:
+) -> Iterator[tuple[dict[str, DataFrame], int]]:
     """The historical result tables, from closed and open days together.
 
-    Closes first what has fallen behind the last ``open_days`` days.
+    Closes first what has fallen behind the last ``open_days`` days. Also tells the
+    rows of the whole history.
     """
     if "event_date" not in history.columns:
         history = with_event_date(history)
@@ -222,12 +225,13 @@ def past_analyses(
     if last_day is not None:
         closed = close(spark, history, base, last_day - open_days, params, segment_rows)
     days = _after(history, closed.through)
-    with _parts(spark, days, base, closed, params, segment_rows) as parts:
+    n_rows = days.count()
+    with _parts(spark, days, base, closed, params, segment_rows, n_rows) as parts:
         parts["severe"] = parts["severe"].select("plate")
         whole = {
             part: _read(spark, base, closed, part).unionByName(parts[part]) for part in ADDED_UP
         }
-        yield {
+        tables = {
             "historical2": past.merged_road_stats(whole["roads"]),
             "historical1": past.top_vehicles(whole["pairs"], params),
             "historical3": past.count_infractions(
@@ -235,3 +239,4 @@ def past_analyses(
             ),
             "alternative": whole["severe"],
         }
+        yield tables, closed.n_rows + n_rows

@@ -41,10 +41,12 @@ def live_analyses(snap: DataFrame, vehicles: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def moving_history(history: DataFrame, segment_rows: int = SEGMENT_ROWS) -> DataFrame:
+def moving_history(
+    history: DataFrame, segment_rows: int = SEGMENT_ROWS, at_most: int | None = None
+) -> DataFrame:
     """Kinematics of the whole history, with plates too big for a task cut up."""
     rows = history.select("_id", *FIELDS)
-    rows = split_hot_keys(rows, VEHICLE, IN_TIME, segment_rows, before=LOOKS_BACK)
+    rows = split_hot_keys(rows, VEHICLE, IN_TIME, segment_rows, at_most, before=LOOKS_BACK)
     return with_kinematics(rows).drop("x", "direction")
 
 
@@ -67,10 +69,11 @@ def whole_history(
     params: Params,
     as_of: float | None,
     segment_rows: int,
-) -> Iterator[dict[str, DataFrame]]:
-    """The historical tables from a full pass over the history."""
-    with kept(moving_history(history, segment_rows)) as moving:
-        yield past_analyses(moving, history, params, as_of)
+) -> Iterator[tuple[dict[str, DataFrame], int]]:
+    """The historical tables from a full pass over the history, and its rows."""
+    n_rows = history.count()
+    with kept(moving_history(history, segment_rows, n_rows)) as moving:
+        yield past_analyses(moving, history, params, as_of), n_rows
 
 
 @contextmanager
@@ -81,11 +84,11 @@ def open_days(
     params: Params,
     as_of: float | None,
     segment_rows: int,
-) -> Iterator[dict[str, DataFrame]]:
+) -> Iterator[tuple[dict[str, DataFrame], int]]:
     """The same from closed days and a pass over the open ones."""
     closed = f"{base}/closed_days"
-    with closed_days.past_analyses(spark, history, closed, params, as_of, segment_rows) as tables:
-        yield tables
+    with closed_days.past_analyses(spark, history, closed, params, as_of, segment_rows) as found:
+        yield found
 
 
 def run_once(
@@ -126,11 +129,11 @@ def run_once(
         # The latest reading of each active plate is in the snapshot.
         latest, batch_rows = snap.agg(F.max("time"), F.count(F.lit(1))).first()
 
-    # Counts that read file footers, or one column of the recent days.
-    history_rows, recent_rows = history.count(), since(history, cut).count()
+    recent_rows = since(history, cut).count()
     begun = clock.monotonic()
     with scratch_tables(spark):
-        with historical(spark, history, base, params, as_of, segment_rows) as tables:
+        with historical(spark, history, base, params, as_of, segment_rows) as found:
+            tables, history_rows = found
             write_all(tables, begun)
 
     report = [(name, seconds[name]) for name in TIMED]

@@ -2,7 +2,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from kinelane.schema import READING
 
-BASE = dict(road="r", road_speed=100, road_size=1000, x=0, y=0, plate="AA000", time=0.0, direction=1)
+BASE = dict(
+    road="r", road_speed=100, road_size=1000, x=0, y=0, plate="AA000", time=0.0, direction=1
+)
 
 
 def frame(spark: SparkSession, rows: list[dict]) -> DataFrame:

@@ -30,7 +30,8 @@ def history(spark):
 
 def check(spark, history, base, params=Params(), **options):
     full = full_pass(moving_history(history), history, params, AS_OF)
-    with closed_days.past_analyses(spark, history, base, params, AS_OF, **options) as tables:
+    with closed_days.past_analyses(spark, history, base, params, AS_OF, **options) as (tables, n_rows):
+        assert n_rows == history.count()
         for name, table in tables.items():
             columns = full[name].columns
             assert sorted(table.columns) == sorted(columns)
@@ -93,7 +94,7 @@ def test_open_days_are_all_that_is_read(spark, history, tmp_path):
     append_history(history, str(tmp_path / "history"))
     stored = read_history(spark, str(tmp_path / "history"))
     base = str(tmp_path / "closed")
-    with closed_days.past_analyses(spark, stored, base, as_of=AS_OF) as tables:
+    with closed_days.past_analyses(spark, stored, base, as_of=AS_OF) as (tables, _):
         tables["historical2"].collect()
     through = closed_days.load(spark, base).through
     plan = closed_days._after(stored, through)._jdf.queryExecution().toString()
