@@ -12,8 +12,10 @@ from kinelane.functions import payload
 from kinelane.operators import cursor, history, live, snapshot, views
 from kinelane.operators.kinematics import numbered, with_kinematics
 from kinelane.operators.ordered import own, pinned
-from kinelane.schema import FIELDS, Params
-from kinelane.sources.events import load_events, plain, readings
+from kinelane.plans import closed_days
+from kinelane.schema import FIELDS, Params, with_event_date
+from kinelane.sources.events import START, load_events, plain, readings
+from kinelane.sources.files import new_table_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -315,6 +317,28 @@ def collision_risk_split(spark, sf_dir):
     )
 
 
+# --- closed days -----------------------------------------------------------------
+
+# A day holds 144 s of the events' compressed time, and a 60 s window ten hours.
+REAL_TIME = Params(score_window_seconds=36_000)
+
+
+def _from_closed_days(name: str) -> Query:
+    """A historical result of readings spread over the month their events span.
+
+    All days but the last ones are closed, then merged with the open ones.
+    """
+
+    def query(spark, sf_dir):
+        spread = F.lit(float(START)) + (F.col("time") - START) * 600
+        rows = with_event_date(plain(_rows(spark, sf_dir)).withColumn("time", spread))
+        base = new_table_path(spark)
+        with closed_days.past_analyses(spark, pinned(rows), base, REAL_TIME) as (tables, _):
+            return tables[name]
+
+    return query
+
+
 QUERIES: dict[str, Query] = {
     "readings": all_readings,
     "payload_lines": payload_lines,
@@ -366,6 +390,10 @@ QUERIES: dict[str, Query] = {
     "cutoff_changes_idle": _cutoffs(0.5),
     "view_overspeed": view_overspeed,
     "view_road_stats": view_road_stats,
+    "top_road_vehicles_closed_days": _from_closed_days("historical1"),
+    "road_stats_closed_days": _from_closed_days("historical2"),
+    "banned_vehicles_closed_days": _from_closed_days("historical3"),
+    "dangerous_driving_closed_days": _from_closed_days("alternative"),
     "readings_split": readings_split,
     "infraction_flags_split": infraction_flags_split,
     "dangerous_driving_split": dangerous_driving_split,

@@ -97,7 +97,7 @@ scored AS (
   WHERE total > 0),
 windows AS (
   SELECT *, CAST(sum(total) OVER (PARTITION BY plate ORDER BY time
-             RANGE BETWEEN CURRENT ROW AND 60 FOLLOWING) AS BIGINT) AS window_total
+             RANGE BETWEEN CURRENT ROW AND {window} FOLLOWING) AS BIGINT) AS window_total
   FROM scored)"""
 
 _BANNED = """
@@ -139,7 +139,7 @@ def _live(select: str, cut: str = _STEADY) -> str:
 
 
 def _scored(select: str, start: int = 1_680_000_000, end: int = 1_690_000_000) -> str:
-    return _past(select, _SCORED.format(start=start, end=end))
+    return _past(select, _SCORED.format(start=start, end=end, window=60))
 
 
 def _banned(least: int, where: str = "") -> str:
@@ -258,6 +258,27 @@ paced AS (
     ),
 }
 
+# Readings spread over the month: 600 times the time between them.
+_SPREAD = """
+spread AS (
+  SELECT * REPLACE (CAST(1685000000 AS DOUBLE) + (time - 1685000000) * 600 AS time)
+  FROM readings)"""
+
+
+def _spread(select: str, *steps: str) -> str:
+    return _sql(select, _SPREAD, _MOVING.format(rows="spread"), *steps)
+
+
+ORACLE |= {
+    "top_road_vehicles_closed_days": ORACLE["top_road_vehicles"],
+    "road_stats_closed_days": _spread(_ROAD_STATS, _STATS),
+    "banned_vehicles_closed_days": _spread(_BANNED.format(least=1, where=""), _FLAGS),
+    "dangerous_driving_closed_days": _spread(
+        "SELECT plate FROM windows WHERE window_total >= 7",
+        _SCORED.format(start=1_680_000_000, end=1_690_000_000, window=36_000),
+    ),
+}
+
 # Splitting the busiest keys changes nothing.
 ORACLE |= {
     "readings_split": ORACLE["readings"],
