@@ -94,6 +94,8 @@ def load(spark: SparkSession, base: str) -> Closed | None:
         return None
     log = spark.read.schema(LOG).parquet(f"{base}/log")
     newest = log.agg(F.max("generation")).first()[0]
+    if newest is None:
+        return None
     # One row per closing, about one a day.
     steps = log.filter(F.col("generation") == newest).orderBy("through").collect()
     last = steps[-1]

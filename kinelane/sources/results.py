@@ -30,6 +30,10 @@ RUNS = T.StructType([
 ])
 
 
+# Runs whose log entries share a folder, so that finding the newest lists few files.
+RUNS_PER_BLOCK = 1000
+
+
 def _folder(base: str, name: str, run_id: int) -> str:
     return f"{base}/{name}/run_id={run_id}"
 
@@ -77,14 +81,25 @@ def commit_run(
     of its recent part and of the snapshot.
     """
     row = (run_id, float(cut), float(cursor.cut), cursor.last_max, *sizes)
-    literal_rows(spark, [row], RUNS).write.mode("append").parquet(f"{base}/runs")
+    block = f"{base}/runs/block={run_id // RUNS_PER_BLOCK}"
+    literal_rows(spark, [row], RUNS).write.mode("append").parquet(block)
 
 
 def run_log(spark: SparkSession, base: str) -> DataFrame:
     """All committed runs; a run committed twice counts once."""
-    if not files.exists(spark, f"{base}/runs"):
+    return _log(spark, base, _blocks(spark, base))
+
+
+def _blocks(spark: SparkSession, base: str) -> list[int]:
+    entries = (name.partition("=") for name in files.names(spark, f"{base}/runs"))
+    return sorted(int(number) for label, _, number in entries if label == "block")
+
+
+def _log(spark: SparkSession, base: str, blocks: list[int]) -> DataFrame:
+    if not blocks:
         return spark.createDataFrame([], RUNS)
-    return spark.read.schema(RUNS).parquet(f"{base}/runs").dropDuplicates(["run_id"])
+    folders = [f"{base}/runs/block={block}" for block in blocks]
+    return spark.read.schema(RUNS).parquet(*folders).dropDuplicates(["run_id"])
 
 
 def next_run(spark: SparkSession, base: str) -> tuple[int, Cursor]:
@@ -95,7 +110,12 @@ def next_run(spark: SparkSession, base: str) -> tuple[int, Cursor]:
 
 def last_run(spark: SparkSession, base: str):
     """The newest committed run as a row, or None."""
-    return run_log(spark, base).orderBy(F.desc("run_id")).limit(1).first()
+    # A run that failed while committing may leave the newest folder empty.
+    for block in reversed(_blocks(spark, base)):
+        row = _log(spark, base, [block]).orderBy(F.desc("run_id")).limit(1).first()
+        if row is not None:
+            return row
+    return None
 
 
 def read_result(spark: SparkSession, base: str, name: str) -> DataFrame:

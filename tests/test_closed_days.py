@@ -85,6 +85,8 @@ def test_unlogged_step_does_not_count(spark, history, tmp_path, monkeypatch):
         closed_days.close(spark, history, base, FIRST + 2)
     monkeypatch.undo()
     assert glob.glob(f"{base}/generation=0/*") and closed_days.load(spark, base) is None
+    (tmp_path / "log" / "_temporary").mkdir(parents=True)
+    assert closed_days.load(spark, base) is None
     check(spark, history, base)
 
 

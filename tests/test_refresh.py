@@ -110,7 +110,8 @@ def test_failed_run_is_not_visible(spark, tmp_path, monkeypatch):
     assert results.last_run(spark, base).run_id == 1
 
 
-def test_old_tables_are_pruned(spark, tmp_path):
+def test_old_tables_are_pruned(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(results, "RUNS_PER_BLOCK", 2)
     base = str(tmp_path / "results")
     df, cursor = frame(spark, track("A", [0, 1, 2])), start()
     for run_id in range(3):
@@ -118,5 +119,7 @@ def test_old_tables_are_pruned(spark, tmp_path):
     results.prune_results(spark, base, list(plan.TABLES), keep=2)
     assert len(glob.glob(f"{base}/historical1/*")) == 2
     assert results.run_log(spark, base).count() == 3
+    (tmp_path / "results" / "runs" / "block=7" / "_temporary").mkdir(parents=True)
+    assert results.last_run(spark, base).run_id == 2
     with pytest.raises(FileNotFoundError):
         results.read_result(spark, str(tmp_path / "other"), "historical1")
