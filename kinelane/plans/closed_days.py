@@ -186,6 +186,8 @@ def close(
     # A window that starts this late may still get readings of the next day.
     settled = F.col("time") < (through + 1) * DAY - params.score_window_seconds
     added = days.count()  # from file footers, like all row counts of a history
+    if not added:
+        return closed
     with _parts(spark, days, base, closed, params, segment_rows, added) as parts:
         parts["severe"] = parts["severe"].filter(settled).select("plate")
         parts["open_scores"] = parts["open_scores"].filter(~settled)

@@ -47,7 +47,7 @@ def test_day_by_day(spark, history, tmp_path):
         seen = history.filter(F.col("event_date") <= day)
         check(spark, seen, base, Params(min_score=3, score_window_seconds=20_000))
     state = closed_days.load(spark, base)
-    assert state.generation == 0 and len(state.steps) == 4
+    assert state.generation == 0 and len(state.steps) == 3
     assert state.n_rows == history.filter(F.col("event_date") <= days[-3]).count()
 
 
