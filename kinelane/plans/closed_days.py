@@ -148,9 +148,10 @@ def _parts(
         starts = past.infraction_flags(moving).filter(new & (F.col("change_in_speed") == 1))
         scored = past.driving_scores(moving, params).filter(new)
         scores = ["plate", "_id", "time", "total"]
-        line_scores = _read(spark, base, closed, "open_scores").select(*scores)
-        with kept(line_scores.unionByName(scored.select(*scores))) as line_scores:
-            few = bound if bound <= segment_rows else None
+        waiting = _read(spark, base, closed, "open_scores").select(*scores)
+        with kept(waiting.unionByName(scored.select(*scores))) as line_scores:
+            few = bound + waiting.count()
+            few = few if few <= segment_rows else None
             far = past.reach(params)
             windows = split_hot_keys(
                 line_scores, VEHICLE, IN_TIME, segment_rows, few, before=far, after=far
