@@ -125,11 +125,19 @@ def lowered(data: np.ndarray) -> np.ndarray:
     return _LOWER[data]
 
 
-def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hashes of byte ranges, from one running sum over the bytes."""
+def running_sums(data: np.ndarray) -> np.ndarray:
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_BYTE[data] * powers(len(data)), out=sums[1:])
-    return mixed((sums[ends] - sums[starts]) * powers(len(data) + 1, True)[starts])
+    return sums
+
+
+def hashes_between(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of byte ranges, which do not depend on where a range lies."""
+    return mixed((sums[ends] - sums[starts]) * powers(len(sums), True)[starts])
+
+
+def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    return hashes_between(running_sums(data), starts, ends)
 
 
 def runs(kind: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

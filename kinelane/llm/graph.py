@@ -16,13 +16,14 @@ def _least_neighbour(pairs: DataFrame) -> DataFrame:
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select("v", "u"))
-    linked = both.join(_least_neighbour(both), "u").where(F.col("v") > F.col("u"))
+    # Written out, so that the join deals a node with many neighbours anew and can split it.
+    linked = both.join(stored(_least_neighbour(both)), "u").where(F.col("v") > F.col("u"))
     return linked.select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = _least_neighbour(down)
+    least = stored(_least_neighbour(down))
     moved = down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.union(least.select("u", F.col("m").alias("v")))
 
