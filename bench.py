@@ -61,13 +61,13 @@ def best(action) -> float:
 
 def recomputed(history):
     """Each analysis from the stored history on its own, nothing shared."""
-    cut, params = start().cut, Params()
+    cut, params, n_rows = start().cut, Params(), history.count()
 
     def seen():
         return snapshot.snapshot(history, cut, params)
 
     def vehicles():
-        return snapshot.live_vehicles(history, cut, params, at_most=0)
+        return snapshot.live_vehicles(history, cut, params, at_most=n_rows)
 
     def moving():
         return moving_history(history)

@@ -7,29 +7,37 @@ from pyspark.sql import functions as F
 
 from kinelane.schema import FIELDS, SENSOR
 
+# What a reading may hold; lines beyond go to quarantine. Times are epoch seconds up to
+# the year 9999, and the way between two places always fits an int.
+MIN_TIME, MAX_TIME = 0.0, 253_402_300_799.0
+MAX_PLACE = 1_000_000_000
+
 DECIMAL = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
 def wire_time(time: Column) -> Column:
     """Epoch seconds in plain decimal digits (a double prints as 1.68E9 in Spark)."""
-    return F.regexp_replace(time.cast("decimal(20,7)").cast("string"), r"(\.\d+?)0+$", "$1")
+    digits = time.try_cast("decimal(38,17)").cast("string")
+    return F.regexp_replace(digits, r"(\.\d+?)0+$", "$1")
 
 
 def encode(df: DataFrame) -> DataFrame:
     """Readings -> payload lines in a ``value`` column."""
     parts = [wire_time(F.col(c)) if c == "time" else F.col(c).cast("string") for c in FIELDS]
+    # A missing value leaves its field empty, so that the others keep their places.
+    parts = [F.coalesce(part, F.lit("")) for part in parts]
     return df.select(F.concat(F.concat_ws(",", *parts), F.lit("\n")).alias("value"))
 
 
 def decode(df: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """Payload lines -> typed fields plus ``reason``, null where the line is good.
 
-    Fields past the eighth are ignored. ``value`` may be text or bytes.
+    Fields past the eighth are ignored. ``value`` may be text or bytes; bytes that are
+    no UTF-8 are kept with replacement characters. Whatever a line holds, it gets a
+    reason and raises nothing.
     """
-    text = F.col(value)
-    if dict(df.dtypes)[value] == "binary":
-        text = F.decode(text, "UTF-8")
-    text = F.regexp_replace(text, r"\r?\n\z", "")
+    raw = F.col(value).cast("string")
+    text = F.regexp_replace(F.make_valid_utf8(raw), r"\r?\n\z", "")
     parts = [
         F.get("_parts", F.lit(i)).try_cast(f.dataType).alias(f.name)
         for i, f in enumerate(SENSOR.fields)
@@ -40,16 +48,27 @@ def decode(df: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> D
     missing = F.lit(False)
     for c in FIELDS:
         missing = missing | F.col(c).isNull()
+    time, x = F.col("time"), F.col("x")
+    possible = (
+        time.between(MIN_TIME, MAX_TIME) & x.between(-MAX_PLACE, MAX_PLACE)
+        & (F.col("road_size") >= 0) & (F.col("road_speed") >= 0)
+        & F.col("direction").isin(1, -1) & (F.trim("road") != "") & (F.trim("plate") != "")
+    )
     reason = (
-        F.when(F.trim("payload") == "", "blank")
+        F.when(~F.col("_valid"), "bad_text")
+        .when(F.trim("payload") == "", "blank")
         .when(F.col("_size") < len(FIELDS), "short")
         .when(missing | ~F.col("_number"), "bad_field")
+        .when(~possible, "out_of_range")
     )
     # A filter on the reason cannot move below the generator, where it would parse
     # each line once per field.
     return (
-        df.select(*keep, text.alias("payload"), F.split(text, ",", -1).alias("_parts"))
-        .select(*keep, "payload", F.inline(F.array(fields)))
+        df.select(
+            *keep, F.is_valid_utf8(raw).alias("_valid"), text.alias("payload"),
+            F.split(text, ",", -1).alias("_parts"),
+        )
+        .select(*keep, "_valid", "payload", F.inline(F.array(fields)))
         .select(*keep, *FIELDS, "payload", reason.alias("reason"))
     )
 

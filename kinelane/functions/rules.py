@@ -35,8 +35,9 @@ def reaches(ahead: Column, behind: Column) -> Column:
     ``ahead`` is that spot for forward traffic, ``behind`` for backward traffic,
     where the vehicle in front has the smaller x.
     """
-    forward = F.col("x") + F.col("speed") + F.col("acc") > ahead
-    backward = F.col("x") - F.col("speed") - F.col("acc") < behind
+    x = F.col("x").cast("bigint")
+    forward = x + F.col("speed") + F.col("acc") > ahead
+    backward = x - F.col("speed") - F.col("acc") < behind
     return F.when(F.col("direction") == 1, forward).otherwise(backward)
 
 

@@ -8,7 +8,6 @@ from pyspark.sql.window import Window
 
 from kinelane.functions import rules
 from kinelane.operators.ordered import (
-    COPY,
     SEG,
     SEGMENT_ROWS,
     own,
@@ -81,13 +80,16 @@ def merged_road_stats(sums: DataFrame) -> DataFrame:
     )
 
 
-def infraction_flags(moving: DataFrame) -> DataFrame:
+def infraction_flags(moving: DataFrame, earlier: Column | None = None) -> DataFrame:
     """Add ``change_in_speed``: 1 where a vehicle starts to break the limit.
 
-    A plate's first row has no speed before it, and counts if it is too fast.
+    A plate's first row has no speed before it, and counts if it is too fast;
+    ``earlier`` is the speed of a row before it that is not part of ``moving``.
     """
+    moving = pad(moving, VEHICLE, IN_TIME, before=1)
     along = Window.partitionBy(*partition_keys(moving, VEHICLE)).orderBy(*IN_TIME)
-    starts = rules.starts_infraction(F.lag("speed").over(along))
+    before = F.lag("speed").over(along)
+    starts = rules.starts_infraction(before if earlier is None else F.coalesce(before, earlier))
     return own(moving.withColumn("change_in_speed", rules.flag(starts)))
 
 
@@ -112,15 +114,23 @@ def count_infractions(
     )
 
 
-def driving_scores(moving: DataFrame, params: Params = Params()) -> DataFrame:
+def in_band(params: Params) -> Column:
+    return (F.col("time") > params.band_start) & (F.col("time") < params.band_end)
+
+
+def driving_scores(
+    moving: DataFrame, params: Params = Params(), earlier: Column | None = None
+) -> DataFrame:
     """Score each reading of the time band; readings that score 0 are dropped.
 
-    The band comes first, so its first reading never counts as a lane change.
+    The band comes first, so its first reading never counts as a lane change, unless
+    ``earlier`` tells the lane of one in the band that is not part of ``moving``.
     """
-    inside = (F.col("time") > params.band_start) & (F.col("time") < params.band_end)
-    along = Window.partitionBy(*partition_keys(moving, VEHICLE)).orderBy(*IN_TIME)
-    changed = F.col("y") != F.lag("y").over(along)
-    banded = own(moving.filter(inside).withColumn("changed_lane", rules.flag(changed)))
+    inside = pad(moving.filter(in_band(params)), VEHICLE, IN_TIME, before=1)
+    along = Window.partitionBy(*partition_keys(inside, VEHICLE)).orderBy(*IN_TIME)
+    before = F.lag("y").over(along)
+    changed = F.col("y") != (before if earlier is None else F.coalesce(before, earlier))
+    banded = own(inside.withColumn("changed_lane", rules.flag(changed)))
     scored = banded.withColumns({
         "over_road_speed": rules.flag(rules.over_limit(), 3),
         "over_acc": rules.flag(rules.harsh(params.harsh_acc), 3),
@@ -153,22 +163,20 @@ def severe_windows(scored: DataFrame, params: Params = Params()) -> DataFrame:
     time belong to the window too, also those sorted before the current one.
     """
     far = reach(params)
-    if SEG in scored.columns and COPY not in scored.columns:
-        scored = pad(scored, VEHICLE, IN_TIME, before=far, after=far)
+    scored = pad(scored, VEHICLE, IN_TIME, before=far, after=far)
     along = Window.partitionBy(*partition_keys(scored, VEHICLE)).orderBy(*IN_TIME)
-    pair, steps = F.struct("time", "total"), range(1, far + 1)
-    near = {f"_ahead{n}": F.lead(pair, n).over(along) for n in steps}
-    near |= {f"_behind{n}": F.lag(pair, n).over(along) for n in steps}
+    near = F.collect_list(F.struct("time", "total")).over(along.rowsBetween(-far, far))
     time, until = F.col("time"), F.col("time") + params.score_window_seconds
-    score = F.col("total")
-    for n in steps:
-        ahead, behind = F.col(f"_ahead{n}"), F.col(f"_behind{n}")
-        score += F.when(ahead["time"] <= until, ahead["total"]).otherwise(0)
-        score += F.when(behind["time"] == time, behind["total"]).otherwise(0)
-    flagged = scored.withColumns(near).withColumn(
+    score = F.aggregate(
+        "_near",
+        F.lit(0),
+        lambda so_far, at: so_far
+        + F.when(at["time"].between(time, until), at["total"]).otherwise(0),
+    )
+    flagged = scored.withColumn("_near", near).withColumn(
         "several_infractions", score >= params.min_score
     )
-    return own(flagged.drop(*near)).filter("several_infractions")
+    return own(flagged.drop("_near")).filter("several_infractions")
 
 
 def window_scores(
@@ -207,9 +215,12 @@ def _window_scores_split(
         mark(time, 1, F.col("total")),
         mark(time + params.score_window_seconds, 2, nothing),
     )
-    along = ["at", "kind", "_id"]
-    line = pinned(scored).select("_id", "plate", F.inline(marks))
+    along = ["at", "kind", "_id", "_row"]
+    # Ids need not be unique; the numbers are written out, so they stay.
+    rows = pinned(scored.withColumn("_row", F.monotonically_increasing_id()))
+    line = rows.select("_id", "_row", "plate", F.inline(marks))
     line = split_hot_keys(line, VEHICLE, along, segment_rows)
     sums = running_total(line, VEHICLE, along, F.col("add"), "_sum")
     sign = F.when(F.col("kind") == 2, F.col("_sum")).when(F.col("kind") == 0, -F.col("_sum"))
-    return sums.groupBy("plate", "_id").agg(F.sum(sign).alias("window_total"))
+    totals = sums.groupBy("plate", "_id", "_row").agg(F.sum(sign).alias("window_total"))
+    return totals.select("_id", "plate", "window_total")

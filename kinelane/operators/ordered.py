@@ -81,12 +81,12 @@ def split_hot_keys(
         return df
     per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     hot_keys = per_key.filter(F.col("_n") > max_rows).dropna(subset=list(keys))
-    # At most at_most / max_rows keys can be hot, so this side is always small.
     hot_keys = pinned(hot_keys)
     n_keys, n_rows = hot_keys.agg(F.count(F.lit(1)), F.sum("_n")).first()
     if n_keys == 0:
         return df
-    hot_keys = F.broadcast(hot_keys.select(*keys))
+    # How many there are follows the data; whether to broadcast them is left to AQE.
+    hot_keys = hot_keys.select(*keys)
     # Sampled range bounds over the whole sort key follow the data, so a burst in
     # time is cut as well. The segment numbers are pinned: a lost executor cannot
     # bring back other borders.
@@ -102,7 +102,12 @@ def split_hot_keys(
 def pad(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], before: int = 0, after: int = 0
 ) -> DataFrame:
-    """Give the segments of a frame that is split already copies of their neighbours."""
+    """Give the segments of a frame that is split already copies of their neighbours.
+
+    A frame that is not split, or has its copies, stays as it is.
+    """
+    if SEG not in df.columns or COPY in df.columns:
+        return df
     split = pinned(df.filter(F.col(SEG) != UNSPLIT))
     return _padded(df.filter(F.col(SEG) == UNSPLIT), split, keys, order, before, after)
 

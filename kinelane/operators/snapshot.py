@@ -82,8 +82,8 @@ def with_collision_risk(
     lane, along = ["road", "y"], ["x", "plate"]
     lanes = split_hot_keys(moving, lane, along, segment_rows, at_most, before=1, after=1)
     window = Window.partitionBy(*partition_keys(lanes, lane)).orderBy(*along)
-    spot = F.col("x") + F.col("speed") + F.col("acc")
-    mirrored = F.col("x") - F.col("speed") - F.col("acc")
+    x = F.col("x").cast("bigint")
+    spot, mirrored = x + F.col("speed") + F.col("acc"), x - F.col("speed") - F.col("acc")
     risk = rules.reaches(F.lead(spot).over(window), F.lag(mirrored).over(window))
     flagged = own(lanes.withColumn("collision_risk", rules.flag(risk)))
     return flagged.select(*moving.columns, "collision_risk")

@@ -8,13 +8,13 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinelane.functions import payload
+from kinelane.functions import payload, rules
 from kinelane.operators import cursor, history, live, snapshot, views
 from kinelane.operators.kinematics import numbered, with_kinematics
 from kinelane.operators.ordered import own, pinned
 from kinelane.plans import closed_days
 from kinelane.schema import FIELDS, Params, with_event_date
-from kinelane.sources.events import START, load_events, plain, readings
+from kinelane.sources.events import START, events_after, load_events, plain, readings
 from kinelane.sources.files import new_table_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,8 +32,13 @@ class Source(NamedTuple):
     def rows(self) -> DataFrame:
         return readings(self.events, at_most=self.n_rows)
 
-    def loose(self) -> DataFrame:
-        return readings(self.events, clustered=False)
+    def loose(self, after: float | None = None) -> DataFrame:
+        """Readings without x; the scan is bounded where only those after a time count."""
+        events = self.events if after is None else events_after(self.events, after)
+        return readings(events, clustered=False)
+
+    def looked_back(self, cut: float) -> DataFrame:
+        return self.loose(cut - STOCK.lookback_seconds)
 
     @property
     def steady(self) -> float:
@@ -74,7 +79,7 @@ def _first(_source: Source) -> float:
 
 
 def _snapshot(source: Source, cut=_steady) -> DataFrame:
-    return snapshot.snapshot(source.loose(), cut(source))
+    return snapshot.snapshot(source.looked_back(cut(source)), cut(source))
 
 
 def _vehicles(source: Source, cut=_steady) -> DataFrame:
@@ -98,19 +103,34 @@ def payload_roundtrip(spark, sf_dir):
 
 
 def payload_rejects(spark, sf_dir):
-    """Every 97th line cut short, every 89th with text in a number."""
+    """Lines damaged in one of many ways each, by the number of the reading."""
     rows = plain(_rows(spark, sf_dir))
     lines = payload.encode(rows.withColumn("road", F.concat("road", F.lit(":"), "_id")))
     line_id = F.split_part(F.split_part("value", F.lit(","), F.lit(1)), F.lit(":"), F.lit(2))
     damaged = (
         F.when(line_id.cast("bigint") % 97 == 0, F.substring_index("value", ",", 5))
         .when(line_id.cast("bigint") % 89 == 0, F.regexp_replace("value", ",[0-9]+,", ",?,"))
+        .when(line_id.cast("bigint") % 83 == 0, _with_field("time", "1685000000000000"))
+        .when(line_id.cast("bigint") % 79 == 0, _with_field("time", "1e400"))
+        .when(line_id.cast("bigint") % 73 == 0, _with_field("x", "2147483647"))
+        .when(line_id.cast("bigint") % 71 == 0, _with_field("direction", "7"))
+        .when(line_id.cast("bigint") % 67 == 0, _with_field("plate", " "))
         .otherwise(F.col("value"))
     )
-    bad = payload.rejected(payload.decode(lines.select(damaged.alias("value"))))
+    spoilt = line_id.cast("bigint") % 61 == 0
+    bytes_ = F.concat(damaged.cast("binary"), F.when(spoilt, F.lit(b"\xff\n")).otherwise(F.lit(b"")))
+    bad = payload.rejected(payload.decode(lines.select(bytes_.alias("value"))))
     return bad.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _with_field(name: str, value: str):
+    """The line with another value in one of its fields."""
+    parts = F.split("value", ",", -1)
+    end = "\n" if name == FIELDS[-1] else ""
+    new = [F.lit(value + end) if c == name else F.get(parts, i) for i, c in enumerate(FIELDS)]
+    return F.concat_ws(",", *new)
+
+
 def imposed_types(spark, sf_dir):
     """Text columns, blank padded as in a warehouse, cast back to sensor types."""
     rows = plain(_rows(spark, sf_dir))
@@ -125,13 +145,13 @@ def imposed_types(spark, sf_dir):
 
 def recent_readings(spark, sf_dir):
     source = _measured(spark, sf_dir)
-    rows = snapshot.recent(source.loose(), source.steady)
+    rows = snapshot.recent(source.loose(source.steady), source.steady)
     return rows.select("_id", "plate", "time")
 
 
 def lookback_readings(spark, sf_dir):
     source = _measured(spark, sf_dir)
-    rows = snapshot.lookback(source.loose(), source.steady)
+    rows = snapshot.lookback(source.looked_back(source.steady), source.steady)
     return rows.select("_id", "plate", "time")
 
 
@@ -148,13 +168,13 @@ def reading_counts(spark, sf_dir):
 
 def active_plates(spark, sf_dir):
     source = _measured(spark, sf_dir)
-    return snapshot.active_plates(source.loose(), source.steady)
+    return snapshot.active_plates(source.loose(source.steady), source.steady)
 
 
 def _active_history(how: str) -> Query:
     def query(spark, sf_dir):
         source = _measured(spark, sf_dir)
-        rows = snapshot.active_history(source.loose(), source.steady, how=how)
+        rows = snapshot.active_history(source.looked_back(source.steady), source.steady, how=how)
         return rows.select("plate", "_id")
 
     return query
@@ -181,15 +201,15 @@ def live_idle_counts(spark, sf_dir):
     """All four counts at a cut-off nothing is newer than."""
     source = _measured(spark, sf_dir)
     snap, vehicles = _snapshot(source, _idle), _vehicles(source, _idle)
-    counts = [
-        live.road_count(snap),
-        live.vehicle_count(snap),
-        live.overspeed_count(vehicles),
-        live.collision_count(vehicles),
-    ]
-    named = [c.select(F.lit(c.columns[0]).alias("analysis"), F.col(c.columns[0]).alias("n"))
-             for c in counts]
-    return named[0].union(named[1]).union(named[2]).union(named[3])
+    seen = snap.agg(
+        F.count_distinct("road").alias("n_roads"), F.count_distinct("plate").alias("n_cars")
+    )
+    flagged = vehicles.agg(
+        F.count_if(rules.over_limit()).alias("cars_over_speed_limit"),
+        F.count_if(F.col("collision_risk") == 1).alias("cars_collision_risk"),
+    )
+    named = [c.unpivot([], c.columns, "analysis", "n") for c in (seen, flagged)]
+    return named[0].union(named[1])
 
 
 def _on_snapshot(analysis, cut=_steady) -> Query:
@@ -323,7 +343,7 @@ def collision_risk_split(spark, sf_dir):
 REAL_TIME = Params(score_window_seconds=36_000)
 
 
-def _from_closed_days(name: str) -> Query:
+def _from_closed_days(name: str, change: Callable[[DataFrame], DataFrame] = plain) -> Query:
     """A historical result of readings spread over the month their events span.
 
     All days but the last ones are closed, then merged with the open ones.
@@ -331,7 +351,8 @@ def _from_closed_days(name: str) -> Query:
 
     def query(spark, sf_dir):
         spread = F.lit(float(START)) + (F.col("time") - START) * 600
-        rows = with_event_date(plain(_rows(spark, sf_dir)).withColumn("time", spread))
+        rows = change(plain(_rows(spark, sf_dir)))
+        rows = with_event_date(rows.withColumn("time", spread))
         base = new_table_path(spark)
         with closed_days.past_analyses(spark, pinned(rows), base, REAL_TIME) as (tables, _):
             return tables[name]
@@ -339,6 +360,31 @@ def _from_closed_days(name: str) -> Query:
     return query
 
 
+# --- incomplete readings -----------------------------------------------------------
+
+
+def _gappy(rows: DataFrame) -> DataFrame:
+    """Every 13th reading lacks its road's length, and so counts for nothing itself."""
+    return rows.withColumn(
+        "road_size", F.when(F.col("_id") % 13 != 0, F.col("road_size"))
+    )
+
+
+def infraction_flags_gaps(spark, sf_dir):
+    flags = history.infraction_flags(with_kinematics(_gappy(_rows(spark, sf_dir))))
+    return flags.select("_id", "plate", "change_in_speed")
+
+
+def infraction_flags_gaps_split(spark, sf_dir):
+    flags = history.infraction_flags(with_kinematics(_gappy(_split_rows(spark, sf_dir))))
+    return flags.select("_id", "plate", "change_in_speed")
+
+
+def driving_scores_gaps_split(spark, sf_dir):
+    scored = history.driving_scores(with_kinematics(_gappy(_split_rows(spark, sf_dir))))
+    return scored.select("_id", "plate", "changed_lane", "over_road_speed", "over_acc", "total")
+
+
 QUERIES: dict[str, Query] = {
     "readings": all_readings,
     "payload_lines": payload_lines,
@@ -394,6 +440,11 @@ QUERIES: dict[str, Query] = {
     "road_stats_closed_days": _from_closed_days("historical2"),
     "banned_vehicles_closed_days": _from_closed_days("historical3"),
     "dangerous_driving_closed_days": _from_closed_days("alternative"),
+    "banned_vehicles_gaps_closed_days": _from_closed_days("historical3", lambda df: _gappy(df)),
+    "dangerous_driving_gaps_closed_days": _from_closed_days("alternative", lambda df: _gappy(df)),
+    "infraction_flags_gaps": infraction_flags_gaps,
+    "infraction_flags_gaps_split": infraction_flags_gaps_split,
+    "driving_scores_gaps_split": driving_scores_gaps_split,
     "readings_split": readings_split,
     "infraction_flags_split": infraction_flags_split,
     "dangerous_driving_split": dangerous_driving_split,

@@ -22,7 +22,7 @@ from kinelane.functions import rules
 from kinelane.operators import history as past
 from kinelane.operators.cursor import scalar
 from kinelane.operators.kinematics import LOOKS_BACK, with_kinematics
-from kinelane.operators.ordered import SEGMENT_ROWS, own, split_hot_keys
+from kinelane.operators.ordered import SEGMENT_ROWS, split_hot_keys
 from kinelane.operators.snapshot import latest_readings
 from kinelane.plans.shared import kept, together
 from kinelane.schema import IN_TIME, READING, VEHICLE, Params, with_event_date
@@ -31,11 +31,14 @@ from kinelane.sources.results import literal_rows
 
 DAY = 86400
 
-# The last readings of a plate that the flags of its next one depend on.
+# The last readings of a plate, which speed and acceleration of its next ones need.
 CARRIED = LOOKS_BACK
 
+# A day this far ahead of the clock closes nothing: some clocks run wrong.
+AHEAD_DAYS = 1
+
 ADDED_UP = ("roads", "pairs", "infractions", "severe")
-LATEST_ONLY = ("tails", "open_scores")
+LATEST_ONLY = ("tails", "open_scores", "last")
 EMPTY = {
     "roads": "road string, n bigint, speeds bigint, sizes bigint, still bigint",
     "pairs": "plate string, road string",
@@ -43,6 +46,7 @@ EMPTY = {
     "severe": "plate string",
     "tails": READING,
     "open_scores": "plate string, _id bigint, time double, total int",
+    "last": "plate string, last_speed int, last_lane int",
 }
 
 LOG = T.StructType([
@@ -143,10 +147,16 @@ def _parts(
     bound = n_rows + carried.count()
     split = split_hot_keys(line, VEHICLE, IN_TIME, segment_rows, bound, before=LOOKS_BACK)
     moving = with_kinematics(split)
-    with kept(moving.drop("x", "direction")) as moving:
-        new = F.col("_new")
-        starts = past.infraction_flags(moving).filter(new & (F.col("change_in_speed") == 1))
-        scored = past.driving_scores(moving, params).filter(new)
+    with kept(moving.drop("x", "direction").filter("_new").drop("_new")) as moving:
+        # Readings that lack a value are dropped, so what a plate last did in the closed
+        # days may lie any number of readings back. It is carried on by itself.
+        last = _read(spark, base, closed, "last")
+        known = moving.join(last, "plate", "left") if closed.steps else moving.withColumns(
+            {c: F.lit(None).cast("int") for c in ("last_speed", "last_lane")}
+        )
+        flags = past.infraction_flags(known, F.col("last_speed"))
+        starts = flags.filter(F.col("change_in_speed") == 1)
+        scored = past.driving_scores(known, params, F.col("last_lane"))
         scores = ["plate", "_id", "time", "total"]
         waiting = _read(spark, base, closed, "open_scores").select(*scores)
         with kept(waiting.unionByName(scored.select(*scores))) as line_scores:
@@ -157,7 +167,7 @@ def _parts(
                 line_scores, VEHICLE, IN_TIME, segment_rows, few, before=far, after=far
             )
             yield {
-                "roads": own(moving).filter(new).groupBy("road").agg(
+                "roads": moving.groupBy("road").agg(
                     F.count(F.lit(1)).alias("n"),
                     F.sum(F.col("speed").cast("bigint")).alias("speeds"),
                     F.sum(F.col("road_size").cast("bigint")).alias("sizes"),
@@ -168,9 +178,28 @@ def _parts(
                 "severe": past.severe_windows(windows, params).select("plate", "time"),
                 "open_scores": line_scores,
                 "tails": latest_readings(line.drop("_new"), CARRIED).select(*names),
+                "last": _last(last, moving, params),
             }
 
 
+def _last(before: DataFrame, moving: DataFrame, params: Params) -> DataFrame:
+    """Each plate's last speed, and its last lane within the time band."""
+    when = F.struct("time", "_id")
+    lane = F.when(past.in_band(params), when)
+    now = moving.groupBy("plate").agg(
+        F.max_by("speed", when).alias("last_speed"),
+        F.max_by(F.when(past.in_band(params), F.col("y")), lane).alias("last_lane"),
+    )
+    both = before.withColumn("_new", F.lit(0)).unionByName(now.withColumn("_new", F.lit(1)))
+    # The newer one where there is one; a plate may not have been in the band lately.
+    return both.groupBy("plate").agg(
+        *(
+            F.max_by(c, F.when(F.col(c).isNotNull(), F.col("_new"))).alias(c)
+            for c in ("last_speed", "last_lane")
+        )
+    )
+
+
 def close(
     spark: SparkSession,
     history: DataFrame,
@@ -225,7 +254,9 @@ def past_analyses(
     """
     if "event_date" not in history.columns:
         history = with_event_date(history)
-    last_day = scalar(history.agg(F.unix_date(F.max("event_date"))))
+    # A reading from the future must not close the days that are still coming in.
+    plausible = F.col("event_date") <= F.date_add(F.current_date(), AHEAD_DAYS)
+    last_day = scalar(history.filter(plausible).agg(F.unix_date(F.max("event_date"))))
     closed = Closed(0)
     if last_day is not None:
         closed = close(spark, history, base, last_day - open_days, params, segment_rows)

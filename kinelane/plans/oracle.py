@@ -165,8 +165,11 @@ ORACLE: dict[str, str] = {
     ),
     "payload_roundtrip": _sql(f"SELECT {_FIELDS} FROM readings"),
     "payload_rejects": _sql(
-        "SELECT CASE WHEN _id % 97 = 0 THEN 'short' ELSE 'bad_field' END AS reason, "
-        "count(*) AS n FROM readings WHERE _id % 97 = 0 OR _id % 89 = 0 GROUP BY 1"
+        "SELECT CASE WHEN _id % 61 = 0 THEN 'bad_text' WHEN _id % 97 = 0 THEN 'short' "
+        "WHEN _id % 89 = 0 THEN 'bad_field' ELSE 'out_of_range' END AS reason, "
+        "count(*) AS n FROM readings WHERE _id % 61 = 0 OR _id % 97 = 0 OR _id % 89 = 0 "
+        "OR _id % 83 = 0 OR _id % 79 = 0 OR _id % 73 = 0 OR _id % 71 = 0 OR _id % 67 = 0 "
+        "GROUP BY 1"
     ),
     "imposed_types": _sql(f"SELECT _id, {_FIELDS} FROM readings"),
     "recent_readings": _sql(f"SELECT _id, plate, time FROM readings WHERE time > {_STEADY}"),
@@ -279,6 +282,35 @@ ORACLE |= {
     ),
 }
 
+# Every 13th reading lacks a value: it counts for the speed of others, not for itself.
+_GAPPY = """
+complete AS (SELECT * FROM moving WHERE _id % 13 <> 0)"""
+
+
+def _gaps(step: str) -> str:
+    return step.replace("FROM moving", "FROM complete")
+
+
+ORACLE |= {
+    "infraction_flags_gaps": _past(
+        "SELECT _id, plate, change_in_speed FROM flags", _GAPPY, _gaps(_FLAGS)
+    ),
+    "driving_scores_gaps_split": _past(
+        "SELECT _id, plate, changed_lane, over_road_speed, over_acc, total FROM scored",
+        _GAPPY,
+        _gaps(_SCORED).format(start=1_680_000_000, end=1_690_000_000, window=60),
+    ),
+    "banned_vehicles_gaps_closed_days": _spread(
+        _BANNED.format(least=1, where=""), _GAPPY, _gaps(_FLAGS)
+    ),
+    "dangerous_driving_gaps_closed_days": _spread(
+        "SELECT plate FROM windows WHERE window_total >= 7",
+        _GAPPY,
+        _gaps(_SCORED).format(start=1_680_000_000, end=1_690_000_000, window=36_000),
+    ),
+}
+ORACLE["infraction_flags_gaps_split"] = ORACLE["infraction_flags_gaps"]
+
 # Splitting the busiest keys changes nothing.
 ORACLE |= {
     "readings_split": ORACLE["readings"],

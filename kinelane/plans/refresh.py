@@ -101,24 +101,32 @@ def run_once(
     as_of: float | None = None,
     segment_rows: int = SEGMENT_ROWS,
     historical=whole_history,
+    fmt: str = "parquet",
+    options: dict[str, str] | None = None,
 ) -> Cursor:
     """Compute and commit all result tables; returns the cut-off of the next run.
 
     ``historical`` is ``whole_history``, or ``open_days`` for a history that is too
-    long to read on every run.
+    long to read on every run. ``fmt`` and ``options`` say where the tables go. The
+    times reported are those of each table's own action; the first of a group also
+    fills what the others share.
     """
     seconds: dict[str, float] = {}
     cut = cursor.cut
 
-    def write(name: str, table: DataFrame, begun: float) -> None:
-        results.write_result(table, base, name, run_id)
+    def put(table: DataFrame, name: str) -> None:
+        results.write_result(table, base, name, run_id, fmt, options)
+
+    def write(name: str, table: DataFrame, begun: float | None = None) -> None:
+        begun = clock.monotonic() if begun is None else begun
+        put(table, name)
         seconds[name] = clock.monotonic() - begun
 
     def write_all(tables: dict[str, DataFrame], begun: float) -> None:
         """The first table alone, so that it fills the shared intermediate; then the rest."""
         (first, table), *others = tables.items()
         write(first, table, begun)
-        together(spark, [partial(write, n, t, clock.monotonic()) for n, t in others])
+        together(spark, [partial(write, n, t) for n, t in others])
 
     window = since(history, cut - params.lookback_seconds)
     begun = clock.monotonic()
@@ -138,9 +146,9 @@ def run_once(
 
     report = [(name, seconds[name]) for name in TIMED]
     times = results.literal_rows(spark, report, results.TIMES)
-    results.write_result(times, base, "times", run_id)
+    put(times, "times")
     stamp = spark.range(1).select(F.lit(float(cut)).alias("LastTimeStamp"))
-    results.write_result(stamp, base, "lasttimestamp", run_id)
+    put(stamp, "lasttimestamp")
     following = cut_off.next_cut(cursor, latest, params.live_seconds)
     sizes = (history_rows, recent_rows, batch_rows)
     results.commit_run(spark, base, run_id, cut, following, sizes)

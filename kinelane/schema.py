@@ -62,7 +62,10 @@ def create_history_table(spark: SparkSession, name: str, location: str) -> None:
 
 
 def with_event_date(df: DataFrame) -> DataFrame:
-    """Add the partition column: days since the epoch as a date, zone-free."""
+    """Add the partition column: days since the epoch as a date, zone-free.
+
+    Null for a time that no date can hold.
+    """
     return df.withColumn(
-        "event_date", F.date_from_unix_date(F.floor(F.col("time") / 86400).cast("int"))
+        "event_date", F.date_from_unix_date(F.floor(F.col("time") / 86400).try_cast("int"))
     )

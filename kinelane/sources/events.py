@@ -6,6 +6,9 @@ several readings of a vehicle.
 
 from __future__ import annotations
 
+import datetime
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +38,16 @@ def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
 
 
+def events_after(events: DataFrame, time: float) -> DataFrame:
+    """Events whose readings can be after ``time``, as a bound that reaches the scan.
+
+    The bound may let a few more events through; the exact filter follows on readings.
+    """
+    micros = max(0, math.floor((float(time) - START) * 1000) - 1) * 600_000
+    since = datetime.datetime(2024, 1, 1) + datetime.timedelta(microseconds=micros)
+    return events.filter(F.col("ts") >= F.lit(since.isoformat(sep=" ")).cast("timestamp_ntz"))
+
+
 def readings(
     events: DataFrame,
     clustered: bool = True,

@@ -10,26 +10,30 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kinelane.functions.payload import impose_types
-from kinelane.schema import READING, complete, with_event_date
+from kinelane.schema import FIELDS, READING, with_event_date
 
 STORED = T.StructType([*READING.fields, T.StructField("event_date", T.DateType())])
 
+# Documents as text, whatever a store makes of their numbers.
+DOCUMENT = T.StructType([T.StructField(c, T.StringType()) for c in ("_id", *FIELDS)])
+
 
 def read_history(
     spark: SparkSession,
     path: str | None = None,
     fmt: str = "parquet",
     options: Mapping[str, str] | None = None,
+    schema: T.StructType = DOCUMENT,
 ) -> DataFrame:
-    """All readings, in the fixed schema; nothing is inferred from files.
+    """All readings, in a stated schema; nothing is inferred.
 
-    Files hold readings that were checked when they came in. A document store
-    (its format and options, no path) takes anything, so its columns are cast and
-    incomplete documents are left out.
+    A document store (its format and options, no path) takes anything, so its fields are
+    read as text, or by ``schema``, and cast. Incomplete readings stay, from any source:
+    they count for the speed of the next one, and the analyses drop them afterwards.
     """
     reader = spark.read.format(fmt).options(**(options or {}))
     if path is None:
-        return complete(impose_types(_with_id(reader.load())))
+        return impose_types(_with_id(reader.schema(schema).load()))
     return reader.schema(STORED).load(path)
 
 
@@ -48,7 +52,7 @@ def read_jdbc(
     Secrets and the driver class go in ``options``, from the caller.
     """
     options = jdbc_options(url, table, lower, upper, partitions, column, options)
-    return complete(impose_types(_with_id(spark.read.format("jdbc").options(**options).load())))
+    return impose_types(_with_id(spark.read.format("jdbc").options(**options).load()))
 
 
 def jdbc_options(
@@ -73,11 +77,11 @@ def jdbc_options(
 
 
 def _with_id(df: DataFrame) -> DataFrame:
-    """A numeric tie-breaker from the fields, where the store has none."""
-    fields = [c for c in df.columns if c != "_id"]
+    """A numeric id: the store's own, or a hash of it, or of the fields in wire order."""
     if dict(df.dtypes).get("_id") == "bigint":
         return df
-    return df.withColumn("_id", F.xxhash64(*fields))
+    source = ["_id"] if "_id" in df.columns else [c for c in FIELDS if c in df.columns]
+    return df.withColumn("_id", F.xxhash64(*[F.col(c).cast("string") for c in source]))
 
 
 def since(history: DataFrame, time: float) -> DataFrame:
@@ -99,18 +103,22 @@ def append_jdbc(rows: DataFrame, url: str, table: str, options: Mapping[str, str
     writer.options(**{"url": url, "dbtable": table, "batchsize": "10000", **options}).save()
 
 
-def compact_history(history: DataFrame, path: str) -> None:
+def compact_history(history: DataFrame, path: str, files: int, file_rows: int = 50_000_000) -> None:
     """Rewrite a history to a new path: a few big files per day, sorted by vehicle.
 
+    ``files`` is about the bytes of the history by the bytes of a file; none gets more
+    than ``file_rows`` rows.
+
     Range bounds over the whole sort key spread a busy day or plate over as many
     files as it needs, and leave tight min/max statistics for scans by plate.
     """
     keys = ["event_date", "plate", "time", "_id"]
     (
         _by_day(history)
-        .repartitionByRange(*keys)
+        .repartitionByRange(max(1, files), *keys)
         .sortWithinPartitions(*keys)
         .write.mode("errorifexists")
+        .option("maxRecordsPerFile", file_rows)
         .partitionBy("event_date")
         .parquet(path)
     )

@@ -7,6 +7,8 @@ sees a half-written table and a failed run leaves no trace but its folders.
 
 from __future__ import annotations
 
+import time as clock
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,8 +29,15 @@ RUNS = T.StructType([
     T.StructField("history_rows", T.LongType()),
     T.StructField("recent_rows", T.LongType()),
     T.StructField("batch_rows", T.LongType()),
+    T.StructField("committed", T.DoubleType()),
 ])
 
+# Formats whose tables are folders; any other format names its place in its options.
+FOLDERS = frozenset({"parquet", "orc", "json", "csv", "avro"})
+
+# How long the tables of a run stay for slow readers, in seconds.
+KEEP_SECONDS = 600.0
+
 
 # Runs whose log entries share a folder, so that finding the newest lists few files.
 RUNS_PER_BLOCK = 1000
@@ -58,13 +67,13 @@ def write_result(
 ) -> None:
     """Write one result table of a run; a retried run overwrites its own folder.
 
-    Any other ``fmt`` overwrites the whole collection its options name.
+    A format that is no file format overwrites the whole collection its options name.
     """
-    writer = df.write.format(fmt).mode("overwrite")
-    if fmt == "parquet":
+    writer = df.write.format(fmt).mode("overwrite").options(**(options or {}))
+    if fmt in FOLDERS:
         writer.save(_folder(base, name, run_id))
     else:
-        writer.options(**(options or {})).option("collection", name).save()
+        writer.option("collection", name).save()
 
 
 def commit_run(
@@ -80,13 +89,13 @@ def commit_run(
     ``cursor`` is where the next run starts; ``sizes`` are the rows of the history,
     of its recent part and of the snapshot.
     """
-    row = (run_id, float(cut), float(cursor.cut), cursor.last_max, *sizes)
+    row = (run_id, float(cut), float(cursor.cut), cursor.last_max, *sizes, clock.time())
     block = f"{base}/runs/block={run_id // RUNS_PER_BLOCK}"
     literal_rows(spark, [row], RUNS).write.mode("append").parquet(block)
 
 
 def run_log(spark: SparkSession, base: str) -> DataFrame:
-    """All committed runs; a run committed twice counts once."""
+    """All committed runs; of a run committed twice the later commit counts."""
     return _log(spark, base, _blocks(spark, base))
 
 
@@ -99,7 +108,9 @@ def _log(spark: SparkSession, base: str, blocks: list[int]) -> DataFrame:
     if not blocks:
         return spark.createDataFrame([], RUNS)
     folders = [f"{base}/runs/block={block}" for block in blocks]
-    return spark.read.schema(RUNS).parquet(*folders).dropDuplicates(["run_id"])
+    entries = spark.read.schema(RUNS).parquet(*folders)
+    latest = F.max_by(F.struct(*RUNS.fieldNames()), F.coalesce("committed", F.lit(0.0)))
+    return entries.groupBy("run_id").agg(latest.alias("_run")).select("_run.*")
 
 
 def next_run(spark: SparkSession, base: str) -> tuple[int, Cursor]:
@@ -118,12 +129,19 @@ def last_run(spark: SparkSession, base: str):
     return None
 
 
-def read_result(spark: SparkSession, base: str, name: str) -> DataFrame:
-    """A result table of the newest committed run."""
+def read_result(
+    spark: SparkSession,
+    base: str,
+    name: str,
+    fmt: str = "parquet",
+    options: dict[str, str] | None = None,
+) -> DataFrame:
+    """A result table of the newest committed run, in the file format it was written in."""
     run = last_run(spark, base)
     if run is None:
         raise FileNotFoundError(f"no committed run under {base}")
-    return spark.read.parquet(_folder(base, name, run.run_id))
+    reader = spark.read.format(fmt).options(**(options or {}))
+    return reader.load(_folder(base, name, run.run_id))
 
 
 def write_cut_changes(spark: SparkSession, base: str, path: str) -> None:
@@ -132,13 +150,22 @@ def write_cut_changes(spark: SparkSession, base: str, path: str) -> None:
     changed.write.mode("overwrite").option("header", True).csv(path)
 
 
-def prune_results(spark: SparkSession, base: str, names: list[str], keep: int = 2) -> None:
-    """Delete the tables of runs older than the last ``keep``; the log stays."""
-    run = last_run(spark, base)
-    if run is None:
+def prune_results(
+    spark: SparkSession, base: str, names: list[str], keep_seconds: float = KEEP_SECONDS
+) -> None:
+    """Delete the tables of runs that were replaced this long ago; the log stays.
+
+    A run is replaced when the next one is committed, so a reader has this long to
+    finish with what it opened.
+    """
+    log = run_log(spark, base)
+    # Runs are numbered in order: all before the newest that is old enough were replaced.
+    old = log.filter(F.col("committed") <= clock.time() - keep_seconds)
+    newest_old = old.agg(F.max("run_id")).first()[0]
+    if newest_old is None:
         return
     for name in names:
         for entry in files.names(spark, f"{base}/{name}"):
             label, _, number = entry.partition("=")
-            if label == "run_id" and int(number) <= run.run_id - keep:
+            if label == "run_id" and int(number) < newest_old:
                 files.remove(spark, f"{base}/{name}/{entry}")

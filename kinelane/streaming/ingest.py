@@ -50,11 +50,15 @@ def kafka_payloads(
 
 
 def file_payloads(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """Payload lines of text files as they arrive; the id is a hash of file and line."""
+    """Payload lines of text files as they arrive.
+
+    Lines have no place of their own in a stream of files, and equal lines of a file are
+    different readings, so the id is drawn once and stored with the reading.
+    """
     reader = spark.readStream.format("text")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    place = F.xxhash64("_metadata.file_path", "value")
+    place = F.xxhash64("_metadata.file_path", "value", F.uuid())
     return reader.load(path).select(place.alias("_id"), "value")
 
 

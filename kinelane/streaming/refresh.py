@@ -21,6 +21,9 @@ def refresh(
     params: Params = Params(),
     as_of: float | None = None,
     historical=open_days,
+    fmt: str = "parquet",
+    options: dict[str, str] | None = None,
+    keep_seconds: float = results.KEEP_SECONDS,
 ) -> Cursor:
     """One pass: continue from the run log, compute, commit, drop old tables.
 
@@ -29,9 +32,10 @@ def refresh(
     """
     run_id, cursor = results.next_run(spark, base)
     following = run_once(
-        spark, read(spark), base, run_id, cursor, params, as_of, historical=historical
+        spark, read(spark), base, run_id, cursor, params, as_of,
+        historical=historical, fmt=fmt, options=options,
     )
-    results.prune_results(spark, base, list(TABLES))
+    results.prune_results(spark, base, list(TABLES), keep_seconds)
     return following
 
 
@@ -42,12 +46,13 @@ def start_refresh(
     checkpoint: str,
     params: Params = Params(),
     trigger: Mapping = EVERY,
+    **refresh_options,
 ) -> StreamingQuery:
-    """Refresh on every trigger until the query is stopped."""
+    """Refresh on every trigger until the query is stopped; options as for ``refresh``."""
     ticks = spark.readStream.format("rate").option("rowsPerSecond", 10).load()
 
     def tick(batch: DataFrame, _batch_id: int) -> None:
-        refresh(batch.sparkSession, read, base, params)
+        refresh(batch.sparkSession, read, base, params, **refresh_options)
 
     writer = ticks.writeStream.foreachBatch(tick)
     return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()

@@ -59,6 +59,28 @@ def test_windows_across_days(spark, tmp_path):
     check(spark, with_event_date(df), str(tmp_path), open_days=1)
 
 
+def test_gaps_across_days(spark, tmp_path):
+    """Plate by plate, another reading around midnight lacks its road's length."""
+    midnight = (FIRST + 1) * 86400.0
+    path = [midnight + s for s in (-50.0, -40.0, -30.0, -20.0, 10.0, 20.0, 30.0, 200_000.0)]
+    readings_ = [
+        dict(plate=f"P{gap}", time=t, x=(i % 2) * 500, y=i // 3)
+        for gap in range(8) for i, t in enumerate(path)
+    ]
+    df = frame(spark, readings_)
+    complete = F.col("_id") % 8 != F.floor(F.col("_id") / 8)
+    df = df.withColumn("road_size", F.when(complete, F.col("road_size")))
+    check(spark, with_event_date(df), str(tmp_path), Params(min_score=1), open_days=1)
+
+
+def test_a_reading_from_the_future_closes_nothing_else(spark, history, tmp_path):
+    base = str(tmp_path)
+    ahead = frame(spark, [dict(plate="Z", time=4e9)]).withColumn("_id", F.lit(-1).cast("long"))
+    check(spark, history.unionByName(with_event_date(ahead)), base)
+    last = history.agg(F.unix_date(F.max("event_date"))).first()[0]
+    assert closed_days.load(spark, base).through == last - 2
+
+
 def test_late_readings_reopen_the_days(spark, history, tmp_path):
     base = str(tmp_path)
     late = F.col("_id") % 50 == 7

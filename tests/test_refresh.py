@@ -81,6 +81,26 @@ def test_runs_with_split_plates(spark, stored, tmp_path):
         ), name
 
 
+def test_tables_in_another_format(spark, stored, tmp_path):
+    df = read_history(spark, stored).filter(F.col("plate") < "AA008")
+    one, other = str(tmp_path / "one"), str(tmp_path / "other")
+    plan.run_once(spark, df, one, 0, start(), as_of=AS_OF)
+    plan.run_once(spark, df, other, 0, start(), as_of=AS_OF, fmt="orc", options={"compression": "zlib"})
+    for name in plan.TABLES:
+        written = results.read_result(spark, other, name, "orc")
+        assert glob.glob(f"{other}/{name}/run_id=0/*.zlib.orc"), name
+        if name != "times":
+            assert same(results.read_result(spark, one, name), written), name
+
+
+def test_a_second_commit_of_a_run_counts(spark, tmp_path):
+    base = str(tmp_path)
+    results.commit_run(spark, base, 0, 1.0, Cursor(2.0, 3.0), (1, 1, 1))
+    results.commit_run(spark, base, 0, 1.0, Cursor(5.0, 6.0), (2, 2, 2))
+    assert results.run_log(spark, base).count() == 1
+    assert results.next_run(spark, base) == (1, Cursor(5.0, 6.0))
+
+
 def test_nothing_stays_cached_and_new_data_is_seen(spark, tmp_path):
     path, base = str(tmp_path / "history"), str(tmp_path / "results")
     append_history(frame(spark, track("A", [0, 1, 2])), path)
@@ -116,8 +136,10 @@ def test_old_tables_are_pruned(spark, tmp_path, monkeypatch):
     df, cursor = frame(spark, track("A", [0, 1, 2])), start()
     for run_id in range(3):
         cursor = plan.run_once(spark, df, base, run_id, cursor)
-    results.prune_results(spark, base, list(plan.TABLES), keep=2)
-    assert len(glob.glob(f"{base}/historical1/*")) == 2
+    results.prune_results(spark, base, list(plan.TABLES), keep_seconds=600)
+    assert len(glob.glob(f"{base}/historical1/*")) == 3
+    results.prune_results(spark, base, list(plan.TABLES), keep_seconds=0)
+    assert len(glob.glob(f"{base}/historical1/*")) == 1
     assert results.run_log(spark, base).count() == 3
     (tmp_path / "results" / "runs" / "block=7" / "_temporary").mkdir(parents=True)
     assert results.last_run(spark, base).run_id == 2

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from helpers import frame, track
 from kinelane.operators import history, snapshot
 from kinelane.operators.kinematics import numbered, with_kinematics
 from kinelane.operators.ordered import (
@@ -161,3 +162,33 @@ def test_small_keys_stay_whole(spark):
     rows = spark.range(100).withColumn("k", F.col("id") % 10)
     assert split_hot_keys(rows, ["k"], ["id"], max_rows=10) is rows
     assert split_hot_keys(rows, ["k"], ["id"], max_rows=1, at_most=1) is rows
+
+
+@pytest.mark.parametrize("segment_rows", [3, 4])
+def test_a_gap_anywhere_changes_nothing(spark, segment_rows):
+    """Plate by plate, the reading that lacks a value lies one place further on."""
+    fast = [0, 500, 1000, 1500, 2000, 2500, 2510, 3000, 3500, 3510, 4000, 4500]
+    df = frame(spark, [r for gap in range(12) for r in track(f"P{gap:02d}", fast)])
+    place, gap = F.col("_id") % 12, F.floor(F.col("_id") / 12)
+    df = df.withColumn("y", (place / 4).cast("int"))
+    df = df.withColumn("road_size", F.when(place != gap, F.col("road_size")))
+    one, other = moving_history(df), moving_history(df, segment_rows)
+    assert SEG in other.columns
+    band = Params(band_start=-1.0)
+    assert equal(history.infraction_flags(one), history.infraction_flags(other))
+    assert equal(history.driving_scores(one, band), history.driving_scores(other, band))
+    assert equal(
+        history.dangerous_driving(one, band), history.dangerous_driving(other, band)
+    )
+
+
+def test_repeated_readings_keep_their_own_windows(spark):
+    twice = [dict(plate="A", x=x, time=float(t)) for t, x in enumerate([0, 500, 0, 500, 0, 500])]
+    df = frame(spark, twice)
+    df = df.union(df.filter("_id = 4"))
+    band = Params(band_start=-1.0)
+    whole = history.window_scores(history.driving_scores(moving_history(df), band), band)
+    scored = history.driving_scores(moving_history(df, 3), band)
+    split = history.window_scores(scored, band, 3)
+    assert split.columns == whole.columns
+    assert equal(whole, split)

@@ -59,6 +59,26 @@ def test_stream_equals_batch(spark, tmp_path):
         ), name
 
 
+def test_no_line_stops_ingestion(spark, tmp_path):
+    inbox, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    fields = dict(zip(FIELDS, ["road1", "120", "50000", "5", "0", "AA001", "1000.5", "1"]))
+    odd = [("time", "1685000000000000"), ("time", "1e400"), ("time", "-1"), ("x", "2147483647"),
+           ("direction", "7"), ("plate", ""), ("road", " "), ("road_speed", "-5")]
+    lines = [",".join((fields | {name: value}).values()).encode() for name, value in odd]
+    lines.append(b"road1,120,50000,5,0,AA\xff01,1000.5,1")
+    good = ",".join(fields.values()).encode()
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.txt").write_bytes(b"\n".join([*lines, good, good]) + b"\n")
+    run(spark, inbox, out, state)
+    (tmp_path / "in" / "b.txt").write_bytes(good + b"\n")
+    run(spark, inbox, out, state)
+    bad = ingest.read_quarantine(spark, out)
+    assert sorted(r.reason for r in bad.collect()) == ["bad_text"] + ["out_of_range"] * len(odd)
+    kept = ingest.read_ingested(spark, out)
+    # Equal lines are readings of their own.
+    assert kept.count() == 3 and kept.select("_id").distinct().count() == 3
+
+
 def test_ingested_days_are_pruned(spark, tmp_path):
     inbox, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
     ingest.publish(frame(spark, track("A", [1, 2, 3], every=86400.0)), "text", {"path": inbox})
