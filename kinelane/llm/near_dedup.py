@@ -292,7 +292,8 @@ def near_groups(docs: DataFrame) -> DataFrame:
     # Copies follow their representative, without taking part in the search for links.
     member = signed.join(copies, classes, "left").withColumn("rep", F.coalesce("rep", "doc_id"))
     named = member.join(found, "rep", "left")
-    component = F.when(F.col("n_shingles") > 0, F.coalesce("component", "rep")).otherwise(F.col("doc_id"))
+    linked = F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)
+    component = F.when(linked, F.coalesce("component", "rep")).otherwise(F.col("doc_id"))
     out = named.select("doc_id", "n_shingles", component.alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
