@@ -218,8 +218,13 @@ def _listed(spans: Column, rules: tuple[Rule, ...]) -> Column:
 
 
 def with_spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """``docs`` with ``_spans``: structs (first, kind, last) of all rules, in code points."""
-    marked = docs.withColumn("_text", text_or_empty()).withColumn("print", F.xxhash64("_text"))
+    """``_row`` (a struct of the columns of ``docs``) and ``_spans`` of all rules.
+
+    Spans are structs (first, kind, last) in code points.
+    """
+    marked = docs.select(
+        F.struct(*docs.columns).alias("_row"), "doc_id", text_or_empty().alias("_text")
+    ).withColumn("print", F.xxhash64("_text"))
     hits = candidates(marked, rules)
     same = F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("d.print") == F.col("c.print"))
     joined = marked.alias("d").join(hits.alias("c"), same, "left").select("d.*", "c.kinds")
@@ -234,7 +239,7 @@ def with_spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
         if trigram_query(rule.pattern) is not None:
             spans = F.when(F.array_contains("kinds", rule.kind), spans).otherwise(empty)
         found.append(spans)
-    return ready.withColumn("_spans", F.concat(*found)).drop("_text", "kinds", "print")
+    return ready.select("_row", F.concat(*found).alias("_spans"))
 
 
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -254,7 +259,7 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 
     counts = [n_of(order).alias(f"n_{rule.kind}") for order, rule in enumerate(BASE_RULES)]
     return spans.select(
-        "doc_id", *counts, F.sha2(_listed(base, rules).cast("binary"), 256).alias("base_sha256"),
+        "_row.doc_id", *counts, F.sha2(_listed(base, rules).cast("binary"), 256).alias("base_sha256"),
         _listed(F.col("_spans"), rules).alias("spans"),
     )
 
@@ -265,10 +270,11 @@ def redacted(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     A text without secrets stays as it is, null included; ``n_chars`` follows the text.
     """
     spans = with_spans(docs, rules)
+    old = F.col("_row.text")
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(so_far: Column, span: Column) -> Column:
-        between = F.substr("text", so_far["at"] + 1, span["first"] - so_far["at"])
+        between = F.substr(old, so_far["at"] + 1, span["first"] - so_far["at"])
         fresh = span["first"] >= so_far["at"]
         marked = F.concat(so_far["out"], between, F.lit(_REDACTED))
         # A span that begins inside the last one only moves its end.
@@ -278,16 +284,13 @@ def redacted(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
         )
 
     def rest(so_far: Column) -> Column:
-        return F.concat(so_far["out"], F.substr("text", so_far["at"] + 1, F.length("text")))
+        return F.concat(so_far["out"], F.substr(old, so_far["at"] + 1, F.length(old)))
 
-    text = F.when(
-        F.size("_spans") > 0, F.aggregate(F.array_sort("_spans"), start, step, rest)
-    ).otherwise(F.col("text"))
-    out = spans.withColumn("text", text)
+    changed = F.size("_spans") > 0
+    text = F.when(changed, F.aggregate(F.array_sort("_spans"), start, step, rest)).otherwise(old)
+    out = spans.select("_row", text.alias("_new"), changed.alias("_changed"))
+    columns = {c: F.col(f"_row.`{c}`") for c in docs.columns} | {"text": F.col("_new")}
     if "n_chars" in docs.columns:
-        changed = F.size("_spans") > 0
-        kind = docs.schema["n_chars"].dataType
-        out = out.withColumn(
-            "n_chars", F.when(changed, F.length("text").cast(kind)).otherwise(F.col("n_chars"))
-        )
-    return out.select(*docs.columns)
+        length = F.length("_new").cast(docs.schema["n_chars"].dataType)
+        columns["n_chars"] = F.when(F.col("_changed"), length).otherwise(columns["n_chars"])
+    return out.select(*(c.alias(name) for name, c in columns.items()))
