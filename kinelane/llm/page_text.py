@@ -113,8 +113,12 @@ def _described(tag: str, attributes: str) -> tuple[str, bool, bool, bool]:
 
 
 def parse(text: str) -> Page:
-    """The elements and blocks of a page, closing what it leaves open."""
+    """The elements and blocks of a page, closing what it leaves open.
+
+    Text in elements that hold no main text by their tag or role is left out.
+    """
     nodes = [Node(-1, "", "", False, False, False)]
+    quiet = [False]
     open_nodes = [0]
     blocks: list[tuple[int, str]] = []
     held: list[str] = []
@@ -138,12 +142,9 @@ def parse(text: str) -> Page:
 
     def add(piece: str) -> None:
         nonlocal at_block
-        if not piece:
-            return
         here = open_nodes[-1]
-        noisy = nodes[here].noise or nodes[here].named
-        if held and here != at_block and noisy:
-            held.append(" ")
+        if not piece or quiet[here]:
+            return
         if not held:
             if piece.isspace():
                 return
@@ -157,8 +158,7 @@ def parse(text: str) -> Page:
             closing = tag_match[1] or tag_match[4]
             if not closing or (tag_match[2] or tag_match[5]).lower() != raw:
                 continue
-            if raw not in NOISE:
-                add(text[last:first])
+            add(text[last:first])
             raw = ""
         else:
             add(text[last:first])
@@ -188,10 +188,11 @@ def parse(text: str) -> Page:
                     break
         attributes = tag_match[3] or tag_match[6] or ""
         label, noise, named, stated = _described(name, attributes)
-        if name in BLOCKS or noise or named:
+        if name in BLOCKS or named:
             end_block()
         if name in VOID:
             continue
+        quiet.append(quiet[open_nodes[-1]] or noise)
         nodes.append(Node(open_nodes[-1], name, label, noise, named, stated))
         open_nodes.append(len(nodes) - 1)
         at_block = open_nodes[-1] if not held else at_block
@@ -206,14 +207,23 @@ def parse(text: str) -> Page:
 def _noisy(page: Page) -> list[bool]:
     """Whether each element, or one around it, says that it is no main text.
 
-    A name does not count on what holds stated main text, as a page's frame may be
-    named after its sidebar; a header only counts outside of stated main text.
+    A name does not count on what holds the longest stated article, as a page's frame
+    may be named after its sidebar; a header only counts outside of stated main text.
     """
     nodes = page.nodes
-    holds = [False] * len(nodes)
+    size = [0] * len(nodes)
+    for number, text in page.blocks:
+        size[number] += len(text)
     for number in range(len(nodes) - 1, 0, -1):
-        if holds[number] or (nodes[number].stated and not nodes[number].noise):
-            holds[nodes[number].parent] = True
+        size[nodes[number].parent] += size[number]
+    stated = [n for n, node in enumerate(nodes) if node.stated and not node.noise]
+    articles = [n for n in stated if nodes[n].tag != "main"] or stated
+    holds = [False] * len(nodes)
+    if articles:
+        at = max(articles, key=lambda n: size[n])
+        while at > 0:
+            holds[at] = True
+            at = nodes[at].parent
     out, within = [False], [False]
     for number, node in enumerate(nodes[1:], 1):
         own = node.noise or (node.named and not holds[number] and node.tag not in ("html", "body"))
