@@ -226,7 +226,7 @@ def train(
     )
     counts = np.array(base["counts"].tolist()).reshape(len(base), 4)
     place = {int(d): i for i, d in enumerate(base["doc_id"])}
-    fold = np.array([hash(("fold", d)) % FOLDS for d in place], np.int64) if place else np.empty(0, int)
+    fold = (common.mixed(base["doc_id"].to_numpy(np.int64).view(np.uint64)) % np.uint64(FOLDS)).astype(int)
     links: list[Link] = []
     earlier: list[np.ndarray] = []
     for category in categories:
