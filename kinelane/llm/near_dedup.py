@@ -305,3 +305,42 @@ def one_of_each_group(docs: DataFrame) -> DataFrame:
     """
     dropped = near_groups(docs).where("not kept").select("doc_id").distinct()
     return docs.join(dropped, "doc_id", "left_anti")
+
+
+#: The registered query in SQL: shared shingles counted pair by pair, then all that is reached.
+ORACLE = r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, list_filter(string_split_regex(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, unnest(
+    CASE WHEN len(words) = 0 THEN []::VARCHAR[]
+         WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+         ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) END
+  ) AS shingle
+  FROM texts
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id
+), near AS (
+  SELECT s.a, s.b FROM shared s JOIN sizes x ON s.a = x.doc_id JOIN sizes y ON s.b = y.doc_id
+  WHERE 100 * s.n >= 85 * (x.n + y.n - s.n)
+), links AS (
+  SELECT a, b FROM near UNION ALL SELECT b, a FROM near
+), reached(doc_id, other) AS (
+  SELECT a, b FROM links
+  UNION
+  SELECT r.doc_id, l.b FROM reached r JOIN links l ON r.other = l.a
+), found AS (
+  SELECT doc_id, min(other) AS least FROM reached GROUP BY doc_id
+)
+SELECT t.doc_id, coalesce(s.n, 0) AS n_shingles,
+       least(t.doc_id, coalesce(f.least, t.doc_id)) AS component_id,
+       t.doc_id = least(t.doc_id, coalesce(f.least, t.doc_id)) AS kept
+FROM texts t LEFT JOIN sizes s ON t.doc_id = s.doc_id LEFT JOIN found f ON t.doc_id = f.doc_id
+"""

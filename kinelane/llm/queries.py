@@ -81,5 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 ORACLE: dict[str, str] = {
     "op1_url_rules": url_rules.ORACLE,
+    "op2_secret_scan": secret_scan.ORACLE,
+    "op4_minhash_near_dedup": near_dedup.ORACLE,
     "op6_host_quality": quality_rules.ORACLE,
 }

@@ -294,3 +294,51 @@ def redacted(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
         length = F.length("_new").cast(docs.schema["n_chars"].dataType)
         columns["n_chars"] = F.when(F.col("_changed"), length).otherwise(columns["n_chars"])
     return out.select(*(c.alias(name) for name, c in columns.items()))
+
+
+def _oracle() -> str:
+    """The registered query in SQL: matches are marked, and lengths before them added up."""
+    mark = "chr(64976)"
+    kinds, spans = [], []
+    for order, rule in enumerate(RULES):
+        pattern = rule.pattern.replace("'", "''")
+        long_enough = (
+            f"length(regexp_extract(p[i], '{pattern}', {rule.group})) >= {rule.least}"
+            if rule.group
+            else f"length(p[i]) >= {rule.least}"
+        )
+        kinds.append(
+            f"string_split(regexp_replace(t, '({pattern})', {mark} || '\\1' || {mark}, 'g'), {mark}) AS p{order}"
+        )
+        spans.append(
+            f"list_transform(list_filter(range(2, len(p{order}) + 1, 2), lambda i: "
+            f"{long_enough.replace('p[i]', f'p{order}[i]')}), lambda i: {{"
+            f"'first': coalesce(list_sum(list_transform(p{order}[1:i - 1], lambda x: length(x))), 0)::BIGINT, "
+            f"'kind': {order}, "
+            f"'last': list_sum(list_transform(p{order}[1:i], lambda x: length(x)))::BIGINT}})"
+        )
+    names = ", ".join(f"'{r.kind}'" for r in RULES)
+    shown = (
+        f"array_to_string(list_transform({{}}, lambda s: [{names}][s.kind + 1] || ':' || s.first || ':' || s.last), ',')"
+    )
+    n_base = len(BASE_RULES)
+    counts = ", ".join(
+        f"len(list_filter(spans, lambda s: s.kind = {order})) AS n_{rule.kind}"
+        for order, rule in enumerate(BASE_RULES)
+    )
+    return f"""
+WITH texts AS (
+  SELECT doc_id, translate(coalesce(text, ''), {mark}, chr(64977)) AS t FROM documents
+), cut AS (
+  SELECT doc_id, {", ".join(kinds)} FROM texts
+), found AS (
+  SELECT doc_id, list_sort({" || ".join(f"({s})" for s in spans)}) AS spans FROM cut
+)
+SELECT doc_id, {counts},
+       sha256({shown.format(f"list_filter(spans, lambda s: s.kind < {n_base})")}) AS base_sha256,
+       {shown.format("spans")} AS spans
+FROM found
+"""
+
+
+ORACLE = _oracle()
