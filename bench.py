@@ -9,6 +9,7 @@ import tempfile
 import time
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -23,7 +24,7 @@ from kinelane.plans.refresh import (  # noqa: E402
     whole_history,
 )
 from kinelane.schema import Params  # noqa: E402
-from kinelane.sources.events import load_events, plain, readings  # noqa: E402
+from kinelane.sources.events import START, load_events, plain, readings  # noqa: E402
 from kinelane.sources.history import append_history, read_history  # noqa: E402
 from kinelane.sources.results import write_result  # noqa: E402
 
@@ -106,9 +107,12 @@ def main() -> None:
         materialise(query)
     seconds = {name: best(lambda q=query: materialise(q)) for name, query in HEADLINE.items()}
 
-    # Whole refreshes over a stored history, in three ways.
+    # Whole refreshes over a stored history: of one day, and of the month it is drawn from.
     scratch = tempfile.mkdtemp(prefix="bench-")
-    append_history(plain(readings(load_events(spark, SF_DIR))), f"{scratch}/history")
+    rows = plain(readings(load_events(spark, SF_DIR)))
+    append_history(rows, f"{scratch}/history")
+    month = F.lit(float(START)) + (F.col("time") - START) * 600
+    append_history(rows.withColumn("time", month), f"{scratch}/month")
     runs = iter(range(1000))
 
     def separate() -> None:
@@ -116,20 +120,25 @@ def main() -> None:
         for name, table in recomputed(history).items():
             write_result(table(), f"{scratch}/separate", name, run_id)
 
-    def shared(historical) -> None:
-        history = read_history(spark, f"{scratch}/history")
-        run_once(
-            spark, history, f"{scratch}/shared", next(runs), start(), historical=historical
-        )
+    def shared(historical, stored: str, base: str) -> None:
+        history = read_history(spark, f"{scratch}/{stored}")
+        run_once(spark, history, f"{scratch}/{base}", next(runs), start(), historical=historical)
 
+    # A steady run finds the month's past days closed; a first one closes them.
     refreshes = {
         "separate": separate,
-        "shared": lambda: shared(whole_history),
-        "open_days": lambda: shared(open_days),
+        "shared": lambda: shared(whole_history, "history", "shared"),
+        "open_days": lambda: shared(open_days, "history", "open"),
+        "shared_month": lambda: shared(whole_history, "month", "shared_month"),
+        "open_days_month_steady": lambda: shared(open_days, "month", "open_month"),
     }
     for action in refreshes.values():
         action()
     refresh_seconds = {name: best(action) for name, action in refreshes.items()}
+    firsts = iter(range(1000))
+    refresh_seconds["open_days_month_first"] = best(
+        lambda: shared(open_days, "month", f"first_{next(firsts)}")
+    )
     spark.stop()
     print(json.dumps({
         "metric": "total_seconds_of_headline_queries",
