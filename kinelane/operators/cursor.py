@@ -38,15 +38,6 @@ def next_cut(cursor: Cursor, max_time: float | None, window: float = 60.0) -> Cu
     return cursor
 
 
-def legacy_next_cut(cut: float, max_time: float | None, window: float = 60.0) -> float:
-    """As the stock loop moves it: data exactly ``window`` past the cut counts as none."""
-    if max_time is None:
-        return cut
-    if max_time - window == cut:
-        return max_time
-    return max_time - window
-
-
 def latest_time(df: DataFrame, cut: float | None = None) -> DataFrame:
     """One row: the latest time (after the cut-off), null if there is none."""
     rows = df if cut is None else recent(df, cut)

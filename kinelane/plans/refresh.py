@@ -23,7 +23,8 @@ from kinelane.schema import FIELDS, IN_TIME, VEHICLE, Params
 from kinelane.sources import results
 from kinelane.sources.history import since
 
-# Result tables by analysis, in the order a run writes them: risk has priority.
+# Result tables by analysis, in the order a run writes them: risk has priority. The names
+# are fixed values that readers of the tables know.
 LIVE = ("analysis6", "analysis4", "analysis1", "analysis2", "analysis5", "analysis3")
 PAST = ("historical1", "historical2", "historical3", "alternative")
 TABLES = (*LIVE, *PAST, "times", "lasttimestamp")

@@ -32,7 +32,7 @@ IN_TIME = ["time", "_id"]
 
 @dataclass(frozen=True)
 class Params:
-    """Thresholds of the analyses; the defaults are the stock settings."""
+    """Thresholds of the analyses; the defaults are fixed values, the stock settings."""
 
     live_seconds: float = 60.0        # a plate is active if seen this recently
     lookback_seconds: float = 240.0   # how much further back the live scan reads
