@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 
 from kinelane.sources.files import new_table_path
 
-#: Bytes of text handled at once; a longer text is handled alone.
-SLICE_BYTES = 1 << 21
+#: Bytes of text handled at once (about 80 bytes of memory for each); a longer text is
+#: handled alone.
+SLICE_BYTES = 1 << 20
 
 _RANDOM = np.random.default_rng(20240229)
 _BYTE = _RANDOM.integers(1, 1 << 63, 256, dtype=np.uint64)

@@ -10,18 +10,20 @@ blocks in step, without walking it from its start.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kinelane.llm import common, tokens
 from kinelane.sources.files import new_table_path
 
 #: Bits of the longest code, ids between two checkpoints, bytes of codes in a segment.
-MAX_BITS, BLOCK, SEGMENT_BYTES = 18, 256, 1 << 21
+MAX_BITS, BLOCK, SEGMENT_BYTES = 18, 256, 1 << 20
+#: Bytes of ids encoded at once.
+ENCODE_BYTES = 1 << 18
 
 
 def code_lengths(counts: np.ndarray, limit: int = MAX_BITS) -> np.ndarray:
@@ -187,9 +189,10 @@ def _encoded(tokenised: DataFrame, lengths: np.ndarray) -> DataFrame:
     codes = canonical_codes(lengths)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens.forget()
         for whole in batches:
             raw_ends = common.utf8(whole.column("ids"))[1]
-            for first, last in common.slices(raw_ends):
+            for first, last in common.slices(raw_ends, ENCODE_BYTES):
                 batch = whole.slice(first, last - first)
                 ids, counts = _flat(batch)
                 data, sizes, within = encode(ids, counts, codes, lengths)
@@ -256,14 +259,17 @@ def write(docs: DataFrame, path: str, folder: str, end_id: int = 2) -> None:
     )
 
 
-def read(spark, folder: str) -> DataFrame:
-    """doc_id, n_tokens and ids (little-endian 32 bits) from the files."""
+def _decoded(
+    spark: SparkSession, folder: str, column: str, kind: str, made: Callable[[np.ndarray], object]
+) -> DataFrame:
+    """doc_id, n_tokens and what is made of each document's ids, from the files."""
     codes = spark.read.parquet(f"{folder}/codes").collect()
     lengths = np.zeros(max((r["id"] for r in codes), default=0) + 1, np.uint8)
     for row in codes:
         lengths[row["id"]] = row["bits"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens.forget()
         symbols, sizes = decoding_table(lengths)
         for batch in batches:
             for row in range(batch.num_rows):
@@ -277,31 +283,28 @@ def read(spark, folder: str) -> DataFrame:
                 bit = marks + np.repeat(8 * (np.cumsum(n_bytes) - n_bytes), blocks)
                 ids = decode(data, bit, size, symbols, sizes).astype("<u4")
                 ends = np.cumsum(n_tokens)
-                out = [ids[b - n : b].tobytes() for b, n in zip(ends.tolist(), n_tokens.tolist())]
+                out = [made(ids[b - n : b]) for b, n in zip(ends.tolist(), n_tokens.tolist())]
                 yield pa.record_batch(
-                    [batch.column("doc_ids")[row].values, pa.array(n_tokens), pa.array(out, pa.binary())],
-                    ["doc_id", "n_tokens", "ids"],
+                    [batch.column("doc_ids")[row].values, pa.array(n_tokens), pa.array(out)],
+                    ["doc_id", "n_tokens", column],
                 )
 
-    # A few segments at a time: each becomes several times its size.
+    # One segment at a time: it becomes several times its size.
     return spark.read.parquet(f"{folder}/segments").mapInArrow(
-        work, "doc_id long, n_tokens long, ids binary"
+        work, f"doc_id long, n_tokens long, {column} {kind}"
     )
 
 
-def digests(spark, folder: str) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32 of each document, from the files."""
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            crc = [zlib.crc32(i.as_buffer()) for i in batch.column("ids")]
-            yield pa.record_batch(
-                [batch.column("doc_id"), batch.column("n_tokens"), pa.array(crc, pa.int64())],
-                ["doc_id", "n_tokens", "ids_crc32"],
-            )
+def read(spark: SparkSession, folder: str) -> DataFrame:
+    """doc_id, n_tokens and ids (little-endian 32 bits) from the files."""
+    return _decoded(spark, folder, "ids", "binary", lambda ids: ids.tobytes())
 
-    rows = read(spark, folder).mapInArrow(work, "doc_id long, n_tokens long, ids_crc32 long")
-    # Starts: number within a range of ids, plus the sums of the ranges before.
-    return with_starts(rows)
+
+def digests(spark: SparkSession, folder: str) -> DataFrame:
+    """doc_id, start, n_tokens, ids_crc32 of each document, from the files."""
+    rows = _decoded(spark, folder, "ids_crc32", "long", lambda ids: zlib.crc32(ids))
+    # Written out, as dealing rows by range looks at them twice.
+    return with_starts(common.stored(rows))
 
 
 def with_starts(rows: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ from tokenizers import Tokenizer
 from kinelane.llm import common
 
 #: Pieces that one Python worker remembers; beyond that it starts anew.
-CACHE_PIECES = 1_500_000
+CACHE_PIECES = 800_000
 
 SPACE, LETTER, DIGIT, OTHER, UNKNOWN = 0, 1, 2, 3, 4
 
@@ -219,6 +219,11 @@ def encoder(path: str, spaced: bool) -> Encoder:
     return _encoders[path, spaced]
 
 
+def forget() -> None:
+    """Give back the memory of the encoders, in steps that no longer need them."""
+    _encoders.clear()
+
+
 def lists(flat: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.ListArray:
     offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, kind))
