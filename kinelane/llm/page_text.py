@@ -340,7 +340,8 @@ def unimportant(pages: DataFrame) -> DataFrame:
     A listed path is on a fixed share of a host's pages, so a host's list is bounded by
     the branches of a page divided by that share.
     """
-    known = importances(site_tree(pages), pages)
+    # Written out, as layouts and contents are counted apart and parsing is the dear part.
+    known = importances(stored(site_tree(pages)), pages)
     low: Column = (
         (F.col("importance") < LEAST_IMPORTANCE)
         & (F.col("n_pages") >= LEAST_PAGES)
