@@ -37,6 +37,9 @@ ROWS, BANDS, BITS = 6, 32, 4
 PERCENT = 85
 #: Rows of a bucket, and texts of a cluster, in one block.
 BUCKET_BLOCK, CLUSTER_BLOCK = 1024, 384
+#: Up to so many clustered texts (24 bytes each), their ids go to the texts; beyond that
+#: both sides are dealt out by id.
+SENT_IDS = 1_000_000
 
 _PERMS = ROWS * BANDS
 _ODD = np.random.default_rng(7).integers(1, 1 << 62, _PERMS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -281,6 +284,8 @@ def near_groups(docs: DataFrame) -> DataFrame:
     )
     sizes = common.stored(clusters.groupBy("cluster").agg(F.count("*").alias("size")))
     placed = clusters.join(sizes, "cluster")
+    if clusters.count() <= SENT_IDS:
+        placed = F.broadcast(placed)
     texts = docs.where("doc_id is not null").select("doc_id", "text").join(placed, "doc_id")
     cut = _in_blocks(texts, "cluster", "size", CLUSTER_BLOCK)
     links = cut.repartition("cluster").sortWithinPartitions("cluster").mapInArrow(
