@@ -104,6 +104,35 @@ def _complement(avail: np.ndarray, gap: int) -> tuple[int, ...] | None:
     return None
 
 
+def _best_fit(left: dict[int, int], length: int) -> list[tuple[tuple[int, ...], int]]:
+    """Patterns for pieces placed one by one, longest first, each in the least room that holds it.
+
+    Open rows are kept by the room they have; equal rows are one entry. A row that took a
+    piece has the least room for the next of the same length, so it is filled up at once.
+    """
+    rooms: list[dict[tuple[int, ...], int]] = [{} for _ in range(length + 1)]
+    for size, count in sorted(left.items(), reverse=True):
+        room = size
+        while count:
+            while room < length and not rooms[room]:
+                room += 1
+            pattern, rows = rooms[room].popitem() if room < length else ((), count)
+            per_row = room // size
+            full = min(rows, count // per_row)
+            count -= full * per_row
+            filled = [(full, per_row)]
+            if full < rows and count:
+                filled.append((1, count))
+                full, count = full + 1, 0
+            if room < length and rows > full:
+                rooms[room][pattern] = rows - full
+            for times, copies in filled:
+                if times:
+                    grown, key = rooms[room - copies * size], pattern + (size,) * copies
+                    grown[key] = grown.get(key, 0) + times
+    return [item for room in rooms for item in room.items()]
+
+
 def plan(histogram: dict[int, int], length: int) -> list[tuple[tuple[int, ...], int]]:
     """Patterns of lengths, longest first, and how many rows follow each."""
     avail = np.zeros(length + 1, np.int64)
@@ -127,29 +156,7 @@ def plan(histogram: dict[int, int], length: int) -> list[tuple[tuple[int, ...],
             for k in pattern:
                 avail[k] -= times
             patterns.append((tuple(sorted(pattern, reverse=True)), times))
-    # Best fit: open rows by the room they have; equal rows are one entry.
-    rooms: list[dict[tuple[int, ...], int]] = [{} for _ in range(length + 1)]
-    for size, count in left.items():
-        room = size
-        while count:
-            while room <= length and not rooms[room]:
-                room += 1
-            if room > length:
-                per_row = length // size
-                full, rest = divmod(count, per_row)
-                for rows, copies in ((full, per_row), (1, rest)):
-                    if rows and copies:
-                        rooms[length - copies * size][(size,) * copies] = rows
-                break
-            pattern, rows = rooms[room].popitem()
-            used = min(rows, count)
-            if rows > used:
-                rooms[room][pattern] = rows - used
-            grown = rooms[room - size]
-            grown[(*pattern, size)] = grown.get((*pattern, size), 0) + used
-            count -= used
-    patterns += [item for room in rooms for item in room.items()]
-    return patterns
+    return patterns + _best_fit(left, length)
 
 
 class Runs(NamedTuple):

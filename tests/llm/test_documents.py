@@ -229,6 +229,29 @@ def test_plans_use_all_pieces_and_fill_rows():
     assert sum(rows for _, rows in exact) == 10
 
 
+def test_best_fit_of_hot_lengths():
+    """As many rows as when pieces without complement are placed one by one."""
+    def one_by_one(left, length):
+        rooms = []
+        for size in sorted((s for s, n in left.items() for _ in range(n)), reverse=True):
+            fits = [r for r in rooms if r >= size]
+            if fits:
+                rooms.remove(min(fits))
+            rooms.append(min(fits, default=length) - size)
+        return len(rooms)
+
+    assert sum(rows for _, rows in packing.plan({1100: 1000, 300: 3000}, 2048)) == 1000
+    rng = np.random.default_rng(3)
+    for length in (50, 97, 128):
+        for _ in range(20):
+            sizes = rng.choice(np.arange(2, length), rng.integers(1, 9), replace=False)
+            left = {int(s): int(rng.integers(1, 60)) for s in sizes}
+            found = packing._best_fit(left, length)
+            held = {s: sum(p.count(s) * n for p, n in found) for s in left}
+            assert held == left and all(sum(p) <= length and n > 0 for p, n in found)
+            assert sum(n for _, n in found) == one_by_one(left, length)
+
+
 def test_codes_are_optimal_and_limited():
     import heapq
 
