@@ -1,12 +1,13 @@
 """Main text of web pages, with a style tree per site.
 
-Each page is read into a light tree of elements with blocks of text. What an element
-says of itself comes first: menus, forms, scripts, adverts, notices, comments and the
-like go, and where a page states its article, that is its text. On all other
-branches the site decides. The pages of a host are merged into one tree: for each
+Each page is read into a light tree of elements with blocks of text. Menus, forms,
+scripts, adverts, notices, comments and the like go by what they say of themselves. All
+other branches the site judges. The pages of a host are merged into one tree: for each
 path of elements it counts the layouts (sequences of children) and the contents (text
 blocks) seen there. A branch whose layouts and contents repeat from page to page has low
-importance by entropy, and is removed from each page.
+importance by entropy, and is removed from each page. A stated article speaks for what it
+holds and against what stands beside it: it lowers the bar within, and raises it outside,
+where a branch that too few pages have to be judged goes.
 
 The tree exists only as counts by host, path and value, which Spark sums; no task holds
 the pages of a host.
@@ -16,7 +17,7 @@ from __future__ import annotations
 
 import html as markup
 import re
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -30,6 +31,12 @@ from kinelane.llm.url_rules import host
 
 #: Branches below this importance go, if this many and this part of a host's pages have them.
 LEAST_IMPORTANCE, LEAST_PAGES, LEAST_SHARE = 0.35, 5, 0.1
+#: How much a stated article lowers the bar for its branches and raises that of others.
+EVIDENCE = 0.2
+#: Pages whose branches are held at once.
+PAGES_AT_ONCE = 500
+#: A hot host's branches meet its pages in so many parts.
+PARTS = 8
 #: Weight of contents against layouts falls with the number of layouts seen.
 LAYOUT_DECAY = 0.9
 
@@ -234,10 +241,11 @@ def _noisy(page: Page) -> list[bool]:
 
 
 def _paths(page: Page) -> list[int]:
-    """A hash of the labels from the root to each element."""
+    """A hash of the labels, and of what is stated, from the root to each element."""
     out = [0]
     for node in page.nodes[1:]:
-        out.append(xxhash.xxh64_intdigest(f"{out[node.parent]}>{node.label}") - (1 << 63))
+        step = f"{out[node.parent]}>{node.label}{'!' * node.stated}"
+        out.append(xxhash.xxh64_intdigest(step) - (1 << 63))
     return out
 
 
@@ -261,29 +269,89 @@ def _branches(page: Page) -> dict[tuple[int, bool, int], None]:
     return out
 
 
-def site_tree(pages: DataFrame) -> DataFrame:
-    """host, path, is_layout, value, n: on how many pages of a host a path has a value.
+class Evidence(NamedTuple):
+    """Of each element: noise by what it says, within stated main text; of the page: states any."""
+
+    noisy: list[bool]
+    within: list[bool]
+    states: bool
+
+
+def _evidence(page: Page) -> Evidence:
+    noisy, within = _noisy(page), [False]
+    for node in page.nodes[1:]:
+        within.append(within[node.parent] or node.stated)
+    return Evidence(noisy, within, any(within[n] and not noisy[n] for n, _ in page.blocks))
+
+
+def _holder(page: Page, number: int) -> int:
+    """The element of a block, without the inline ones that it begins in."""
+    while number > 0 and page.nodes[number].tag not in BLOCKS:
+        number = page.nodes[number].parent
+    return number
+
+
+def _asks(page: Page) -> dict[tuple[int, float, bool], None]:
+    """(path, bar, stays): a branch goes below the bar, or stays only from the bar on."""
+    paths = _paths(page)
+    noisy, within, states = _evidence(page)
+    out: dict[tuple[int, float, bool], None] = {}
+    for number, _ in page.blocks:
+        if noisy[number]:
+            continue
+        if states and not within[number]:
+            out[paths[_holder(page, number)], LEAST_IMPORTANCE + EVIDENCE, True] = None
+        stated = within[number]
+        while number > 0 and within[number] == stated:
+            if page.nodes[number].tag not in ("html", "body"):
+                out[paths[number], LEAST_IMPORTANCE - EVIDENCE * stated, False] = None
+            number = page.nodes[number].parent
+    return out
+
+
+def _print() -> Column:
+    return F.xxhash64(F.coalesce("html", F.lit(""))).alias("print")
+
+
+def branches(pages: DataFrame) -> DataFrame:
+    """host, print (of the html), and arrays of a page's branches and of what it asks of them."""
+    kinds = {
+        "path": pa.int64(), "is_layout": pa.bool_(), "value": pa.int64(),
+        "asked": pa.int64(), "bar": pa.float64(), "stays": pa.bool_(),
+    }
 
-    ``pages`` has host and html. Counts of a batch are summed before they leave the task.
-    """
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen: dict[tuple, int] = {}
-            for site, text in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
-                for branch in _branches(parse(text or "")):
-                    key = (site, *branch)
-                    seen[key] = seen.get(key, 0) + 1
-            columns = list(zip(*seen)) if seen else [(), (), (), ()]
-            kinds = (pa.string(), pa.int64(), pa.bool_(), pa.int64())
-            yield pa.record_batch(
-                [*(pa.array(c, k) for c, k in zip(columns, kinds)), pa.array(list(seen.values()), pa.int64())],
-                ["host", "path", "is_layout", "value", "n"],
-            )
-
-    made = pages.select("host", "html").mapInArrow(
-        work, "host string, path long, is_layout boolean, value long, n long"
+            for first in range(0, batch.num_rows, PAGES_AT_ONCE):
+                part = batch.slice(first, PAGES_AT_ONCE)
+                rows = []
+                for text in part.column("html").to_pylist():
+                    page = parse(text or "")
+                    has, asks = _branches(page), _asks(page)
+                    rows.append([*(list(zip(*has)) or [()] * 3), *(list(zip(*asks)) or [()] * 3)])
+                columns = [pa.array(c, pa.list_(k)) for c, k in zip(zip(*rows), kinds.values())]
+                yield pa.record_batch(
+                    [part.column("host"), part.column("print"), *columns], ["host", "print", *kinds]
+                )
+
+    return pages.select("host", _print(), "html").mapInArrow(
+        work,
+        "host string, print long, path array<long>, is_layout array<boolean>, value array<long>, "
+        "asked array<long>, bar array<double>, stays array<boolean>",
     )
-    return made.groupBy("host", "path", "is_layout", "value").agg(F.sum("n").alias("n"))
+
+
+def _merged(read: DataFrame) -> DataFrame:
+    each = read.select("host", F.explode(F.arrays_zip("path", "is_layout", "value")).alias("b"))
+    return each.groupBy("host", "b.path", "b.is_layout", "b.value").agg(F.count("*").alias("n"))
+
+
+def site_tree(pages: DataFrame) -> DataFrame:
+    """host, path, is_layout, value, n: on how many pages of a host a path has a value.
+
+    ``pages`` has host and html.
+    """
+    return _merged(branches(pages))
 
 
 def importances(tree: DataFrame, pages: DataFrame) -> DataFrame:
@@ -312,42 +380,52 @@ def importances(tree: DataFrame, pages: DataFrame) -> DataFrame:
     )
 
 
-def main_text(text: str | None, unimportant: frozenset[int]) -> str:
-    """The blocks of a page that are left, joined by an empty line."""
+def main_text(
+    text: str | None, unimportant: Collection[int], important: Collection[int] = frozenset()
+) -> str:
+    """The blocks of a page that are left, joined by an empty line.
+
+    Where main text is stated, only ``important`` branches stay beside it.
+    """
     page = parse(text or "")
-    noisy = _noisy(page)
-    nodes = page.nodes
-    within = [False]
-    for node in nodes[1:]:
-        within.append(within[node.parent] or node.stated)
-    if any(within[n] and not noisy[n] for n, _ in page.blocks):
-        return "\n\n".join(t for n, t in page.blocks if within[n] and not noisy[n])
+    noisy, within, states = _evidence(page)
     paths = _paths(page)
     low = [False]
-    for number, node in enumerate(nodes[1:], 1):
+    for number, node in enumerate(page.nodes[1:], 1):
+        around = low[node.parent] and within[number] == within[node.parent]
         frame = node.tag in ("html", "body")
-        low.append(low[node.parent] or (not frame and paths[number] in unimportant))
-    return "\n\n".join(t for n, t in page.blocks if not noisy[n] and not low[n])
+        low.append(around or (not frame and paths[number] in unimportant))
+    return "\n\n".join(
+        t for n, t in page.blocks
+        if not noisy[n] and not low[n]
+        and (within[n] or not states or paths[_holder(page, n)] in important)
+    )
 
 
 def _with_host(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", "url", "html", host("url").alias("host"))
 
 
-def unimportant(pages: DataFrame) -> DataFrame:
-    """host and the paths of its branches that go.
+def judged(pages: DataFrame) -> DataFrame:
+    """host, print, and the paths of a page that are unimportant and important.
 
-    A listed path is on a fixed share of a host's pages, so a host's list is bounded by
-    the branches of a page divided by that share.
+    Only answers that change what a page would state by itself are listed.
     """
-    # Written out, as layouts and contents are counted apart and parsing is the dear part.
-    known = importances(stored(site_tree(pages)), pages)
-    low: Column = (
-        (F.col("importance") < LEAST_IMPORTANCE)
-        & (F.col("n_pages") >= LEAST_PAGES)
-        & (F.col("share") >= LEAST_SHARE)
+    # Written out, as it is read for the tree and for the questions, and parsing is dear.
+    read = stored(branches(pages))
+    known = importances(stored(_merged(read)), pages).where(
+        (F.col("n_pages") >= LEAST_PAGES) & (F.col("share") >= LEAST_SHARE)
+    )
+    part = F.pmod("print", F.lit(PARTS)).cast("int").alias("part")
+    asked = read.select("host", "print", part, F.explode(F.arrays_zip("asked", "bar", "stays")).alias("a"))
+    answers = known.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    met = asked.select("host", "print", "part", F.col("a.asked").alias("path"), "a.bar", "a.stays").join(
+        answers, ["host", "path", "part"]
+    )
+    return met.where((F.col("importance") >= F.col("bar")) == F.col("stays")).groupBy("host", "print").agg(
+        F.collect_set(F.when(~F.col("stays"), F.col("path"))).alias("unimportant"),
+        F.collect_set(F.when(F.col("stays"), F.col("path"))).alias("important"),
     )
-    return known.where(low).groupBy("host").agg(F.collect_list("path").alias("paths"))
 
 
 def extracted(pages: DataFrame) -> DataFrame:
@@ -358,14 +436,15 @@ def extracted(pages: DataFrame) -> DataFrame:
     an empty table gives no rows.
     """
     sites = _with_host(pages)
-    gone = stored(unimportant(sites))
-    joined = sites.join(gone, "host", "left")
+    joined = sites.withColumn("print", _print()).join(stored(judged(sites)), ["host", "print"], "left")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [
-                main_text(page, frozenset(paths or ()))
-                for page, paths in zip(batch.column("html").to_pylist(), batch.column("paths").to_pylist())
+                main_text(page, frozenset(low or ()), frozenset(high or ()))
+                for page, low, high in zip(
+                    *(batch.column(c).to_pylist() for c in ("html", "unimportant", "important"))
+                )
             ]
             yield pa.record_batch(
                 [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()),
@@ -373,6 +452,6 @@ def extracted(pages: DataFrame) -> DataFrame:
                 ["page_id", "url", "text", "n_chars"],
             )
 
-    return joined.select("page_id", "url", "html", "paths").mapInArrow(
+    return joined.select("page_id", "url", "html", "unimportant", "important").mapInArrow(
         work, "page_id long, url string, text string, n_chars long"
     )

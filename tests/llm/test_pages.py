@@ -111,6 +111,23 @@ def test_the_site_tells_what_repeats(spark):
     assert page_text.extracted(df.limit(0)).count() == 0
 
 
+def test_the_site_judges_beside_and_within_a_stated_article(spark):
+    """Main text beside a stated teaser stays; what repeats goes, within an article too."""
+    def page(i):
+        teaser = f"<article><h3>Teaser {i}</h3><div class=box>Read it in our shop</div></article>"
+        own = f"<div class=text><p>Story <b>{i}</b> begins</p><p>and ends with {i * 7}</p></div>"
+        return f"<body><div class=top>Welcome to the site</div>{own}{teaser}</body>"
+
+    df = spark.createDataFrame(
+        [(i, f"http://a.org/{i}", page(i)) for i in range(12)] + [(50, "http://b.org/", page(50))],
+        "page_id long, url string, html string",
+    )
+    got = {r.page_id: r.text for r in page_text.extracted(df).collect()}
+    assert got[3] == "Story 3 begins\n\nand ends with 21\n\nTeaser 3"
+    # One page of a site cannot tell, so what it states holds.
+    assert got[50] == "Teaser 50\n\nRead it in our shop"
+
+
 def test_importance_of_branches(spark):
     rows = [(f"p{i}", "h", f"<div class=same>same</div><div class=own>text {i}</div>") for i in range(8)]
     df = spark.createDataFrame(rows, "page_id string, host string, html string")
