@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 from kinelane.llm.common import stored
 from kinelane.llm.url_rules import host
 
-#: Branches below this importance go, if this many and this part of a host's pages have them.
-LEAST_IMPORTANCE, LEAST_PAGES, LEAST_SHARE = 0.35, 5, 0.1
+#: Branches below this importance go, if this many different pages of a host have them.
+LEAST_IMPORTANCE, LEAST_PAGES = 0.35, 5
 #: How much a stated article lowers the bar for its branches and raises that of others.
 EVIDENCE = 0.2
 #: Pages whose branches are held at once.
@@ -341,6 +341,11 @@ def branches(pages: DataFrame) -> DataFrame:
     )
 
 
+def _distinct(read: DataFrame) -> DataFrame:
+    """One row for each different page of a host."""
+    return read.dropDuplicates(["host", "print"])
+
+
 def _merged(read: DataFrame) -> DataFrame:
     each = read.select("host", F.explode(F.arrays_zip("path", "is_layout", "value")).alias("b"))
     return each.groupBy("host", "b.path", "b.is_layout", "b.value").agg(F.count("*").alias("n"))
@@ -349,9 +354,9 @@ def _merged(read: DataFrame) -> DataFrame:
 def site_tree(pages: DataFrame) -> DataFrame:
     """host, path, is_layout, value, n: on how many pages of a host a path has a value.
 
-    ``pages`` has host and html.
+    ``pages`` has host and html; pages of a host with equal html are one.
     """
-    return _merged(branches(pages))
+    return _merged(_distinct(branches(pages)))
 
 
 def importances(tree: DataFrame, pages: DataFrame) -> DataFrame:
@@ -367,7 +372,7 @@ def importances(tree: DataFrame, pages: DataFrame) -> DataFrame:
     contents = tree.where("not is_layout").groupBy("host", "path").agg(
         F.avg(F.log("n")).alias("mean_log")
     )
-    sizes = pages.groupBy("host").agg(F.count("*").alias("n_host"))
+    sizes = pages.groupBy("host").agg(F.count_distinct(_print()).alias("n_host"))
     both = layouts.join(contents, ["host", "path"], "left").join(sizes, "host")
     m, log_m = F.col("m"), F.log("m")
     layout = (log_m - F.col("nlogn") / m) / log_m
@@ -412,10 +417,8 @@ def judged(pages: DataFrame) -> DataFrame:
     Only answers that change what a page would state by itself are listed.
     """
     # Written out, as it is read for the tree and for the questions, and parsing is dear.
-    read = stored(branches(pages))
-    known = importances(stored(_merged(read)), pages).where(
-        (F.col("n_pages") >= LEAST_PAGES) & (F.col("share") >= LEAST_SHARE)
-    )
+    read = stored(_distinct(branches(pages)))
+    known = importances(stored(_merged(read)), pages).where(F.col("n_pages") >= LEAST_PAGES)
     part = F.pmod("print", F.lit(PARTS)).cast("int").alias("part")
     asked = read.select("host", "print", part, F.explode(F.arrays_zip("asked", "bar", "stays")).alias("a"))
     answers = known.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))

@@ -128,6 +128,20 @@ def test_the_site_judges_beside_and_within_a_stated_article(spark):
     assert got[50] == "Teaser 50\n\nRead it in our shop"
 
 
+def test_copies_of_a_page_are_one_and_rare_menus_go(spark):
+    """Copies do not make their text boilerplate; a menu on few of many pages does."""
+    rows = [(i, "http://a.org/", "<body><div class=text><p>The same story</p></div></body>") for i in range(8)]
+    menu = "<div class=top>Sports section</div>"
+    for i in range(100):
+        own = f"<div class=text><p>Story {i}</p></div>"
+        rows.append((100 + i, f"http://b.org/{i}", f"<body>{menu if i < 6 else ''}{own}</body>"))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in page_text.extracted(df).collect()}
+    assert len(got) == len(rows)
+    assert all(got[i] == "The same story" for i in range(8))
+    assert all(got[100 + i] == f"Story {i}" for i in range(100))
+
+
 def test_importance_of_branches(spark):
     rows = [(f"p{i}", "h", f"<div class=same>same</div><div class=own>text {i}</div>") for i in range(8)]
     df = spark.createDataFrame(rows, "page_id string, host string, html string")
