@@ -11,6 +11,9 @@ from kinelane.llm import decontam, near_dedup, packing, secret_scan, toxicity
 from kinelane.llm.common import shipped, stored, table
 from kinelane.llm.queries import CATEGORIES
 
+#: Hundredths of five-word shingles from which on two documents are near copies.
+NEAR_PERCENT = 85
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -24,7 +27,7 @@ def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
     shipped(spark)
-    return near_dedup.one_of_each_group(docs)
+    return near_dedup.one_of_each_group(docs, NEAR_PERCENT)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

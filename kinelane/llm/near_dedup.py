@@ -1,7 +1,8 @@
 """Near-duplicate groups by b-bit MinHash, confirmed on whole shingle sets.
 
-1. Each text gets its distinct five-word shingles, ``ROWS * BANDS`` minima over them, the
-   lowest ``BITS`` bits of each packed into a signature, and one key for each band.
+1. Each text gets its distinct five-word shingles, 192 minima over them, the lowest
+   ``BITS`` bits of each packed into a signature, and one key for each band. Bands have
+   as many rows as the threshold allows.
 2. Texts with equal sets are one class, stood for by its smallest id.
 3. Classes that share a band key are candidates. Within a bucket, similarity is
    estimated from the bits that agree, corrected for agreement by chance; the pairs
@@ -13,15 +14,17 @@
 Buckets and clusters above a block size are cut into blocks, and each pair of blocks is
 one group, so no task holds more than two blocks whatever the size of the group.
 
-Chance of losing a link: at the threshold itself a pair shares no band with
-probability (1 - 0.85 ** 6) ** 32 = 3e-7 and its estimate falls below the margin of 4.5
-standard deviations with 3e-6; both fall steeply above it, and a text is
-separated only if all its links are lost.
+Chance of losing a link: at the threshold itself a pair shares no band with a
+probability of at most ``LEAST_LOST``, as (1 - 0.85 ** 6) ** 32 = 3e-7 or
+(1 - 0.80 ** 5) ** 38 = 3e-7, and its estimate falls below the margin of 4.5 standard
+deviations with 3e-6; both fall steeply above it, and a text is separated only if all its
+links are lost.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -32,16 +35,18 @@ from kinelane.llm import common
 from kinelane.llm.graph import components
 
 SHINGLE_WORDS = 5
-ROWS, BANDS, BITS = 6, 32, 4
-#: Linked if PERCENT * union <= 100 * intersection.
+BITS = 4
+#: Linked if percent * union <= 100 * intersection; this one unless another is given.
 PERCENT = 85
+#: Probability of sharing no band that is taken at the threshold.
+LEAST_LOST = 1e-6
 #: Rows of a bucket, and texts of a cluster, in one block.
 BUCKET_BLOCK, CLUSTER_BLOCK = 1024, 384
 #: Up to so many clustered texts (24 bytes each), their ids go to the texts; beyond that
 #: both sides are dealt out by id.
 SENT_IDS = 1_000_000
 
-_PERMS = ROWS * BANDS
+_PERMS = 192
 _ODD = np.random.default_rng(7).integers(1, 1 << 62, _PERMS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ZERO_NIBBLES = np.array([(not b & 15) + (not b >> 4) for b in range(256)], np.uint8)
 
@@ -52,10 +57,18 @@ def estimated(agreeing: np.ndarray) -> np.ndarray:
     return (agreeing / _PERMS - by_chance) / (1 - by_chance)
 
 
-def _least_agreement() -> int:
+def band_rows(percent: int) -> int:
+    """The most rows of a band with which a pair at the threshold shares one but for chance."""
+    def lost(rows: int) -> float:
+        return (1 - (percent / 100) ** rows) ** (_PERMS // rows)
+
+    return max((r for r in range(1, 17) if lost(r) <= LEAST_LOST), default=1)
+
+
+def _least_agreement(percent: int = PERCENT) -> int:
     """Agreeing values that a pair at the threshold reaches but for 4.5 deviations."""
     chance = 0.5**BITS
-    expected = PERCENT / 100 * (1 - chance) + chance
+    expected = percent / 100 * (1 - chance) + chance
     return int(_PERMS * (expected - 4.5 * np.sqrt(expected * (1 - expected) / _PERMS)))
 
 
@@ -90,7 +103,9 @@ _SIGNED = pa.schema([
 ])
 
 
-def _signed(batch: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray) -> pa.RecordBatch:
+def _signed(
+    batch: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray, per_band: int
+) -> pa.RecordBatch:
     shingles, counts = shingle_sets(data, offsets)
     full = np.flatnonzero(counts)
     begins = (np.cumsum(counts) - counts)[full]
@@ -106,11 +121,12 @@ def _signed(batch: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray) -> pa.
         prints[1, full] = np.add.reduceat(common.mixed(shingles ^ common.FACTORS[63]), begins)
     low = ((minima >> np.uint64(20)) & np.uint64(15)).astype(np.uint8)
     packed = np.ascontiguousarray((low[0::2] | (low[1::2] << 4)).T)
-    keys = np.empty((n, BANDS), np.uint64)
-    for band in range(BANDS):
-        rows = minima[band * ROWS : (band + 1) * ROWS]
+    n_bands = _PERMS // per_band
+    keys = np.empty((n, n_bands), np.uint64)
+    for band in range(n_bands):
+        rows = minima[band * per_band : (band + 1) * per_band]
         keys[:, band] = common.mixed(
-            (rows * common.FACTORS[:ROWS, None]).sum(axis=0, dtype=np.uint64) + np.uint64(band)
+            (rows * common.FACTORS[:per_band, None]).sum(axis=0, dtype=np.uint64) + np.uint64(band)
         )
     bits: list[bytes | None] = [None] * len(counts)
     bands: list[np.ndarray | None] = [None] * len(counts)
@@ -124,10 +140,12 @@ def _signed(batch: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray) -> pa.
     ], schema=_SIGNED)
 
 
-def signatures(docs: DataFrame) -> DataFrame:
+def signatures(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, two prints of the set, packed bits, band keys (null if empty)."""
+    signed = partial(_signed, per_band=band_rows(percent))
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return common.by_row_slices(batches, "text", _signed)
+        return common.by_row_slices(batches, "text", signed)
 
     return docs.select("doc_id", "text").mapInArrow(
         work,
@@ -157,9 +175,9 @@ def _agreeing(bits: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarr
     return out
 
 
-def _bucket_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _bucket_links(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """A forest over the pairs of each bucket whose estimate is high enough."""
-    least = _least_agreement()
+    least = _least_agreement(percent)
     for rows in common.whole_groups(batches, "bucket"):
         bucket = rows.column("bucket").to_numpy()
         docs = rows.column("doc_id").to_numpy()
@@ -187,7 +205,9 @@ def _bucket_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield pa.record_batch([pa.array(edges[:, 0]), pa.array(edges[:, 1])], ["u", "v"])
 
 
-def _confirmed(data: np.ndarray, offsets: np.ndarray, docs: np.ndarray) -> list[tuple[int, int]]:
+def _confirmed(
+    data: np.ndarray, offsets: np.ndarray, docs: np.ndarray, percent: int
+) -> list[tuple[int, int]]:
     """A forest of the links among some texts, on their whole sets.
 
     Walks from text to text and compares each with those not yet reached.
@@ -213,14 +233,14 @@ def _confirmed(data: np.ndarray, offsets: np.ndarray, docs: np.ndarray) -> list[
             places = np.repeat(begin[own] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
             shared = np.bincount(holders[places], minlength=len(docs))
             union = counts[now] + counts - shared
-            near = np.flatnonzero(waiting & (shared > 0) & (100 * shared >= PERCENT * union))
+            near = np.flatnonzero(waiting & (shared > 0) & (100 * shared >= percent * union))
             waiting[near] = False
             queue.extend(near.tolist())
             edges += [(int(docs[now]), int(docs[other])) for other in near]
     return edges
 
 
-def _cluster_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cluster_links(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     for rows in common.whole_groups(batches, "cluster"):
         cluster = rows.column("cluster").to_numpy()
         docs = rows.column("doc_id").to_numpy()
@@ -230,7 +250,7 @@ def _cluster_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         for a, b in zip(borders[:-1], borders[1:]):
             if b - a > 1:
                 edges += _confirmed(
-                    data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], docs[a:b]
+                    data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], docs[a:b], percent
                 )
         if edges:
             u, v = zip(*edges)
@@ -255,15 +275,16 @@ def _in_blocks(members: DataFrame, group: str, size: str, block: int) -> DataFra
     return cut.withColumn(group, F.xxhash64(group, "_pair")).drop("_pair", size)
 
 
-def near_groups(docs: DataFrame) -> DataFrame:
+def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row of ``docs``.
 
+    Texts are linked from a similarity of ``percent`` hundredths on.
     A null or empty text, or one without words, has an empty set and stands alone.
     Rows that repeat a doc_id each give a row; their texts count as texts of one
     document. A row without doc_id is linked with nothing: component_id null, kept.
     Extra columns are ignored. An empty table gives no rows.
     """
-    signed = common.stored(signatures(docs))
+    signed = common.stored(signatures(docs, percent))
     known = signed.where("doc_id is not null and n_shingles > 0")
     classes = ["print1", "print2", "n_shingles"]
     ids = known.groupBy(*classes).agg(F.min("doc_id").alias("rep"), F.count("*").alias("n"))
@@ -277,7 +298,7 @@ def near_groups(docs: DataFrame) -> DataFrame:
     members = banded.join(crowded, "bucket").join(is_rep.select("doc_id", "bits"), "doc_id")
     grouped = _in_blocks(members, "bucket", "size", BUCKET_BLOCK)
     likely = grouped.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
-        _bucket_links, "u long, v long"
+        partial(_bucket_links, percent=percent), "u long, v long"
     )
     clusters = common.stored(
         components(likely).select(F.col("id").alias("doc_id"), F.col("component").alias("cluster"))
@@ -289,7 +310,7 @@ def near_groups(docs: DataFrame) -> DataFrame:
     texts = docs.where("doc_id is not null").select("doc_id", "text").join(placed, "doc_id")
     cut = _in_blocks(texts, "cluster", "size", CLUSTER_BLOCK)
     links = cut.repartition("cluster").sortWithinPartitions("cluster").mapInArrow(
-        _cluster_links, "u long, v long"
+        partial(_cluster_links, percent=percent), "u long, v long"
     )
     found = common.stored(
         components(links).select(F.col("id").alias("rep"), "component")
@@ -303,12 +324,12 @@ def near_groups(docs: DataFrame) -> DataFrame:
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def one_of_each_group(docs: DataFrame) -> DataFrame:
+def one_of_each_group(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` that stand for their group, with all their columns.
 
     Of rows that repeat one doc_id, all stay together.
     """
-    dropped = near_groups(docs).where("not kept").select("doc_id").distinct()
+    dropped = near_groups(docs, percent).where("not kept").select("doc_id").distinct()
     return docs.join(dropped, "doc_id", "left_anti")
 
 

@@ -38,7 +38,7 @@ def op3_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.near_groups(table(spark, sf_dir, "documents"))
+    return near_dedup.near_groups(table(spark, sf_dir, "documents"), 85)
 
 
 def op5_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -75,6 +75,20 @@ def test_near_groups_in_many_blocks(spark, monkeypatch):
     assert sorted(r.doc_id for r in kept.collect()) == [0, 24] and kept.columns == [*df.columns, "rep"]
 
 
+def test_links_from_a_given_threshold_on(spark):
+    """Pairs at 0.79, 0.80 and 0.84 by five-word shingles, and one at 0.90."""
+    texts = {}
+    for pair, (n, changed) in enumerate([(204, 23), (184, 20), (204, 17), (194, 10)]):
+        words = [f"p{pair}w{k}" for k in range(n)]
+        texts[2 * pair] = " ".join(words)
+        texts[2 * pair + 1] = " ".join(words[: n - changed] + [f"q{pair}w{k}" for k in range(changed)])
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    left = {r.doc_id for r in near_dedup.one_of_each_group(df, 80).collect()}
+    assert left == {0, 1, 2, 4, 6}
+    assert sorted(r.doc_id for r in near_dedup.near_groups(df).where("not kept").collect()) == [7]
+    assert (near_dedup.band_rows(85), near_dedup.band_rows(80)) == (6, 5)
+
+
 def test_estimates_follow_similarity():
     rng = np.random.default_rng(3)
     agreeing = rng.binomial(near_dedup._PERMS, 0.85 * 15 / 16 + 1 / 16, 2000)
