@@ -3,9 +3,12 @@
 Numbers, names and units become typed placeholders, so a question that was given other
 values has the same template. Windows of eight template tokens are hashed; a document's
 windows meet the benchmark's in a hash join. The values behind the placeholders must then
-fit: within a document and an item, one value of the item stands for one value of the
+fit: within an occurrence of an item, one value of the item stands for one value of the
 document. Windows that disagree with the majority do not count. A document is
-contaminated by an item if at least half of the item's windows are found in it.
+contaminated by an item if at least half of the item's windows are found in one
+occurrence: windows at one distance from their places in the item, windows whose
+distances differ by less than half an item, as words put in or left out change them, or
+all windows of the document, as the parts of an item may lie anywhere.
 
 * a number is a run of digits, a unit a word of ``UNITS`` right behind a number,
 * a name is a capitalised word that does not begin a sentence, a line or the text,
@@ -15,10 +18,11 @@ contaminated by an item if at least half of the item's windows are found in it.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinelane.llm import common
@@ -133,20 +137,21 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
 
 
 def _found(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
-    """Windows of the documents whose hash is wanted: doc_id, print, hash, doc_slots."""
+    """Windows of the documents whose hash is wanted: doc_id, print, doc_at, hash, doc_slots."""
     ordered = np.sort(wanted)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def cut(batch: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray) -> pa.RecordBatch | None:
             row, shape, own, placeholder = template(data, offsets)
-            rows, values, slots = [], [], []
-            per_row = np.bincount(row, minlength=len(offsets) - 1)
+            rows, places, values, slots = [], [], [], []
+            first = np.searchsorted(row, np.arange(len(offsets)))
             for size in range(LEAST_WORDS, WINDOW + 1):
                 at, hashes = _windows(row, shape, placeholder, size)
                 hit = _among(_signed(hashes), ordered)
                 for place, value in zip(at[hit].tolist(), _signed(hashes[hit]).tolist()):
                     held = slice(place, place + size)
                     rows.append(int(row[place]))
+                    places.append(place - int(first[row[place]]))
                     values.append(value)
                     slots.append(_signed(own[held][placeholder[held]]).tolist())
             if not rows:
@@ -154,14 +159,15 @@ def _found(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
             at_rows = pa.array(rows, pa.int64())
             return pa.record_batch(
                 [batch.column("doc_id").take(at_rows), batch.column("print").take(at_rows),
-                 pa.array(values, pa.int64()), pa.array(slots, pa.list_(pa.int64()))],
-                ["doc_id", "print", "hash", "doc_slots"],
+                 pa.array(places, pa.int64()), pa.array(values, pa.int64()),
+                 pa.array(slots, pa.list_(pa.int64()))],
+                ["doc_id", "print", "doc_at", "hash", "doc_slots"],
             )
 
         return common.by_row_slices(batches, "text", cut)
 
     return docs.select("doc_id", _print(), "text").mapInArrow(
-        work, "doc_id long, print long, hash long, doc_slots array<long>"
+        work, "doc_id long, print long, doc_at long, hash long, doc_slots array<long>"
     )
 
 
@@ -186,10 +192,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) ->
         part = _found(docs, wanted).distinct()
         found = part if found is None else found.union(part)
     key = ["doc_id", "print", "item_id"]
-    met = common.stored(found.join(items, "hash"))
-    same = lambda a, b: F.col(f"{a}.doc_id").eqNullSafe(F.col(f"{b}.doc_id")) & (
-        F.col(f"{a}.print") == F.col(f"{b}.print")
-    ) & (F.col(f"{a}.item_id") == F.col(f"{b}.item_id"))
+    met = common.stored(_occurrences(found.join(items, "hash").join(totals, "item_id"), key))
+    key.append("occurrence")
+    same = lambda a, b: F.col(f"{a}.doc_id").eqNullSafe(F.col(f"{b}.doc_id")) & reduce(
+        Column.__and__, [F.col(f"{a}.{c}") == F.col(f"{b}.{c}") for c in key[1:]]
+    )
     value = F.explode(F.arrays_zip("item_slots", "doc_slots"))
     agreed = (
         met.select(*key, value.alias("v"))
@@ -205,14 +212,27 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) ->
         lambda v: F.col("agreed")[v["item_slots"]] == v["doc_slots"],
     )
     judged = met.alias("m").join(agreed.alias("a"), same("m", "a"), "left").where(consistent)
-    counted = judged.groupBy("m.doc_id", "m.print", "m.item_id").agg(
-        F.count_distinct("m.at").alias("n_found")
+    counted = judged.groupBy(*(f"m.{c}" for c in key)).agg(
+        F.count_distinct("m.at").alias("n_found"), F.first("m.n_windows").alias("n_windows")
     )
     return (
-        counted.join(totals, "item_id")
-        .where(F.col("n_found") >= F.lit(coverage) * F.col("n_windows"))
-        .select("doc_id", "print", "item_id", "n_found")
+        counted.where(F.col("n_found") >= F.lit(coverage) * F.col("n_windows"))
+        .groupBy("doc_id", "print", "item_id")
+        .agg(F.max("n_found").alias("n_found"))
+    )
+
+
+def _occurrences(met: DataFrame, key: list[str]) -> DataFrame:
+    """Each met window once for each occurrence that it is part of."""
+    shift = F.col("doc_at") - F.col("at")
+    by_shift = Window.partitionBy(*key).orderBy("shift")
+    apart = F.col("shift") - F.lag("shift").over(by_shift) > F.col("n_windows") / 2
+    ran = met.withColumn("shift", shift).withColumn("apart", F.coalesce(apart.cast("int"), F.lit(0)))
+    ran = ran.withColumn("run", F.sum("apart").over(by_shift))
+    names = F.array(
+        F.lit("all"), F.concat(F.lit("run "), F.col("run")), F.concat(F.lit("at "), F.col("shift"))
     )
+    return ran.withColumn("occurrence", F.explode(names)).drop("shift", "apart", "run")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -102,6 +102,21 @@ def test_templates_with_other_values(spark):
     assert decontam.contamination(df, items.limit(0)).where("contaminated").count() == 0
 
 
+def test_several_versions_of_one_item(spark):
+    """A worksheet of versions, each word put in somewhere, is caught like one version."""
+    def version(a, b, c, extra=""):
+        return (f"Tell how far {a} walked when she made {b} km on {a[::-1].title()} road and {c} km{extra} "
+                f"with {b + 1} friends and {c + 2} dogs from {a}ville to {a}stadt in {b * c} hours")
+
+    names = ["Nora", "Lena", "Mira", "Sofi", "Tara", "Ella"]
+    docs = [(k, "\n".join(version(n, 11 + 3 * i + k, 50 + 7 * i - k) for i, n in enumerate(names[: 2 + k])))
+            for k in range(5)]
+    docs += [(9, "\n".join(version(n, 20 + i, 70 - i, " uphill") for i, n in enumerate(names)))]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    items = spark.createDataFrame([(10, version("Hugo", 5, 9))], "item_id long, text string")
+    assert {r.doc_id for r in decontam.leaks(df, items).collect()} == {0, 1, 2, 3, 4, 9}
+
+
 def test_passes_over_a_large_benchmark(spark, monkeypatch):
     monkeypatch.setattr(decontam, "PASS_WINDOWS", 5)
     df = spark.createDataFrame([(1, ITEM), (2, "other")], "doc_id long, text string")
