@@ -8,7 +8,9 @@ categories before it; for training these come from models that did not see the r
 
 Words are hashed on their bytes. The training sample is bounded and documented; word
 counts over it, and all scoring, are Spark jobs. Near copies enter training once, as a
-wrong label that was copied would otherwise look like a telling word.
+wrong label that was copied would otherwise look like a telling word: a labelled document
+stays out if its similarity to one that is in, of three-word shingles and estimated from
+128 minima, is 0.8 or more.
 """
 
 from __future__ import annotations
@@ -37,7 +39,10 @@ SLACK = 7.0
 #: Weight of the squared coefficients.
 RIDGE = 0.1
 THRESHOLD = 0.5
-_SKETCH = 4
+#: Similarity from which on a labelled document is a copy of another.
+COPY = 0.8
+_SKETCH, _BAND = 128, 4
+_ODD = np.random.default_rng(17).integers(1, 1 << 62, _SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 _KIND = np.zeros(256, np.uint8)
 _KIND[[*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = 1
@@ -153,9 +158,13 @@ def _sample(docs: DataFrame, labels: DataFrame, categories: list[str], limit: in
         row, hashes, counts = _features(data, offsets)
         plain = common.words(common.lowered(data), offsets)
         at, shingles = common.windows(plain.hashes, plain.row, 3)
-        sketch = np.full((len(counts), _SKETCH), np.iinfo(np.int64).max)
-        for k in range(_SKETCH):
-            np.minimum.at(sketch[:, k], plain.row[at], (shingles * common.FACTORS[k]).view(np.int64))
+        full, begins = np.unique(plain.row[at], return_index=True)
+        minima = np.empty((len(full), _SKETCH), np.uint32)
+        for k in range(_SKETCH if len(full) else 0):
+            minima[:, k] = common.mixed(np.minimum.reduceat(shingles * _ODD[k], begins)).astype(np.uint32)
+        sketch: list[bytes | None] = [None] * len(counts)
+        for place, text in enumerate(full):
+            sketch[text] = minima[place].tobytes()
         order = np.lexsort((hashes, row))
         row, hashes = row[order], hashes[order]
         new = np.ones(len(row), bool)
@@ -167,7 +176,7 @@ def _sample(docs: DataFrame, labels: DataFrame, categories: list[str], limit: in
         return pa.record_batch(
             [batch.column("doc_id"), *(batch.column(c) for c in categories), held,
              pa.array(counts.tolist(), pa.list_(pa.float64())),
-             pa.array(sketch.tolist(), pa.list_(pa.int64()))],
+             pa.array(sketch, pa.binary())],
             ["doc_id", *categories, "words", "counts", "sketch"],
         )
 
@@ -178,7 +187,7 @@ def _sample(docs: DataFrame, labels: DataFrame, categories: list[str], limit: in
     # At most ``limit`` small rows, so the side is bounded whatever the tables hold.
     joined = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
     return joined.mapInArrow(
-        work, f"doc_id long, {kinds}, words array<long>, counts array<double>, sketch array<long>"
+        work, f"doc_id long, {kinds}, words array<long>, counts array<double>, sketch binary"
     )
 
 
@@ -203,6 +212,30 @@ def _telling(sample: DataFrame, ids: DataFrame, category: str, n: int, positive:
     return np.sort(np.array([r["word"] for r in best.collect()], np.int64).view(np.uint64))
 
 
+def _first_of_copies(sketches: list[bytes | None]) -> np.ndarray:
+    """Whether each text is no near copy of one before it that is none itself.
+
+    Texts at the similarity share no band of minima with a probability of 5e-8. One
+    without a sketch is a copy of nothing.
+    """
+    minima = np.zeros((len(sketches), _SKETCH), np.uint32)
+    keep = np.ones(len(sketches), bool)
+    held: dict[tuple[int, bytes], list[int]] = {}
+    for row, sketch in enumerate(sketches):
+        if sketch is None:
+            continue
+        minima[row] = np.frombuffer(sketch, np.uint32)
+        size = 4 * _BAND
+        bands = [(k, bytes(sketch[k : k + size])) for k in range(0, 4 * _SKETCH, size)]
+        near = list({other for band in bands for other in held.get(band, ())})
+        if near and ((minima[near] == minima[row]).mean(axis=1) >= COPY).any():
+            keep[row] = False
+            continue
+        for band in bands:
+            held.setdefault(band, []).append(row)
+    return keep
+
+
 def train(
     docs: DataFrame, labels: DataFrame, categories: list[str], limit: int = SAMPLE_ROWS
 ) -> list[Link]:
@@ -210,15 +243,7 @@ def train(
     sample = common.stored(_sample(docs, labels, categories, limit))
     base = sample.select("doc_id", *categories, "counts", "sketch").toPandas()
     base = base.sort_values("doc_id", kind="stable").drop_duplicates("doc_id").reset_index(drop=True)
-    # Near copies share a minimum; the first of them stays.
-    sketch = np.array(base["sketch"].tolist(), np.int64).reshape(len(base), _SKETCH)
-    keep = np.ones(len(base), bool)
-    for k in range(_SKETCH):
-        _, first = np.unique(sketch[:, k], return_index=True)
-        only = np.zeros(len(base), bool)
-        only[first] = True
-        keep &= only | (sketch[:, k] == np.iinfo(np.int64).max)
-    base = base[keep].reset_index(drop=True)
+    base = base[_first_of_copies(base["sketch"].tolist())].reset_index(drop=True)
     spark = docs.sparkSession
     ids = spark.createDataFrame([(int(i),) for i in base["doc_id"]], "doc_id long")
     kept = common.stored(
