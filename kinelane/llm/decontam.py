@@ -10,15 +10,26 @@ occurrence: windows at one distance from their places in the item, windows whose
 distances differ by less than half an item, as words put in or left out change them, or
 all windows of the document, as the parts of an item may lie anywhere.
 
+Where plain words are few, a template says little, and more is asked:
+
+* a window with fewer than ``LEAST_PLAIN`` plain words is found only with equal values;
+* an item without a window of enough plain words is also found by the template of the
+  whole item, if that has ``LEAST_WHOLE`` plain words;
+* an item of three or four words is found with equal values as a sentence of its own.
+
+Half of the windows with enough plain words, or half of all windows, must be found.
+
 * a number is a run of digits, a unit a word of ``UNITS`` right behind a number,
 * a name is a capitalised word that does not begin a sentence, a line or the text,
-* all other words count in lower case; punctuation does not count.
+* all other words count in lower case; punctuation does not count. In scripts without
+  spaces each character is a word.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -28,10 +39,15 @@ from pyspark.sql import functions as F
 from kinelane.llm import common
 
 WINDOW = 8
-#: Words of a window that are no placeholder; windows with fewer say too little.
+#: Words of a window that are no placeholder; windows with fewer need equal values.
 LEAST_PLAIN = 4
-#: Shorter items cannot be told from chance and match nothing.
-LEAST_WORDS = 5
+#: Plain words of a whole item that is found by its template alone.
+LEAST_WHOLE = 2
+#: Shorter items must be sentences of their own; items under ``LEAST_SENTENCE`` words
+#: cannot be told from chance and match nothing.
+LEAST_WORDS, LEAST_SENTENCE = 5, 3
+#: How a window is looked for: by template, with equal values, as a whole item, as a sentence.
+PLAIN, EQUAL, WHOLE, SENTENCE = range(4)
 #: Part of an item's windows that must be found.
 COVERAGE = 0.5
 #: Benchmark windows that one pass over the documents looks for (8 bytes each).
@@ -68,16 +84,47 @@ def _among(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
     return ordered[at] == values
 
 
-def template(
-    data: np.ndarray, offsets: np.ndarray
-) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Text, template hash and own hash of each token, and whether it is a placeholder."""
+def _kinds(data: np.ndarray) -> np.ndarray:
+    """Kind of each byte; neighbouring characters of scripts without spaces differ in kind."""
     kind = _KIND[data]
+    if not (data >= 0xE0).any():
+        return kind
+    second = np.append(data[1:], np.uint8(0))
+    third = np.append(data[2:], np.zeros(2, np.uint8))[: len(data)]
+    lead = (data >= 0xE3) & (data <= 0xE9)
+    lead |= (data == 0xE0) & (second >= 0xB8) & (second <= 0xBB)
+    lead |= (data == 0xE1) & np.isin(second, [0x80, 0x81, 0x82, 0x9E, 0x9F])
+    mark = (data == 0xE3) & (second == 0x80)
+    mark |= (data == 0xEF) & (second == 0xBC) & ((third <= 0x8F) | (third >= 0x9A) & (third <= 0xA0))
+    places = np.flatnonzero(lead)
+    for step in range(3):
+        at = places + step
+        kind[at[at < len(kind)]] = (3 + np.arange(len(places)) % 2)[at < len(kind)]
+    places = np.flatnonzero(mark)
+    for step in range(3):
+        at = places + step
+        kind[at[at < len(kind)]] = 0
+    return kind
+
+
+class Tokens(NamedTuple):
+    """Of each token: text, template hash, own hash, placeholder, first and last of a sentence."""
+
+    row: np.ndarray
+    shape: np.ndarray
+    own: np.ndarray
+    placeholder: np.ndarray
+    begins: np.ndarray
+    closes: np.ndarray
+
+
+def template(data: np.ndarray, offsets: np.ndarray) -> Tokens:
+    kind = _kinds(data)
     starts, ends = common.runs(kind, offsets)
     row = np.searchsorted(offsets, starts, "right") - 1
     own = common.range_hashes(common.lowered(data), starts, ends)
     if not len(starts):
-        return row, own, own, np.empty(0, bool)
+        return Tokens(row, own, own, *[np.empty(0, bool)] * 3)
     number = kind[starts] == 2
     follows = np.zeros(len(starts), bool)
     follows[1:] = row[1:] == row[:-1]
@@ -90,17 +137,37 @@ def template(
     second = np.minimum(starts + 1, len(data) - 1)
     name = inner & upper[starts] & (ends - starts > 1) & ~upper[second] & ~number
     shape = np.where(number, _NUMBER, np.where(unit, _UNIT, np.where(name, _NAME, own)))
-    return row, shape, own, number | unit | name
-
-
-def _windows(
-    row: np.ndarray, shape: np.ndarray, placeholder: np.ndarray, size: int
-) -> tuple[np.ndarray, np.ndarray]:
-    """First tokens and hashes of the windows with enough plain words."""
-    at, hashes = common.windows(shape, row, size)
-    plain = np.concatenate([[0], np.cumsum(~placeholder)])
-    enough = plain[at + size] - plain[at] >= min(LEAST_PLAIN, size)
-    return at[enough], common.mixed(hashes[enough] + np.uint64(size))
+    return Tokens(row, shape, own, number | unit | name, ~inner, np.append(~inner[1:], True))
+
+
+def _windows(t: Tokens, how: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """First tokens and hashes of the windows of a size that may be found this way."""
+    values = t.shape if how in (PLAIN, WHOLE) else t.own
+    n = len(values) - size + 1
+    if n <= 0:
+        return np.empty(0, np.int64), np.empty(0, np.uint64)
+    counted = np.concatenate([[0], np.cumsum(~t.placeholder)])
+    plain = counted[size:] - counted[:-size]
+    fits = t.row[:n] == t.row[size - 1 :]
+    if how == PLAIN:
+        fits &= plain >= min(LEAST_PLAIN, size)
+    elif how == EQUAL:
+        fits &= plain < min(LEAST_PLAIN, size)
+    elif how == WHOLE:
+        fits &= plain >= LEAST_WHOLE
+    else:
+        fits &= t.begins[:n] & t.closes[size - 1 :]
+    at = np.flatnonzero(fits)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * common.powers(len(values)))])
+    hashes = common.hashes_between(sums, at, at + size)
+    return at, common.mixed(hashes + np.uint64(size) + (np.uint64(how) << np.uint64(40)))
+
+
+def _slots(t: Tokens, how: int, at: np.ndarray, size: int) -> list[list[int]]:
+    """Values behind the placeholders; none where they are part of the hash."""
+    if how in (EQUAL, SENTENCE):
+        return [[]] * len(at)
+    return [_signed(t.own[a : a + size][t.placeholder[a : a + size]]).tolist() for a in at.tolist()]
 
 
 def _signed(values: np.ndarray) -> np.ndarray:
@@ -108,52 +175,75 @@ def _signed(values: np.ndarray) -> np.ndarray:
 
 
 def item_windows(benchmark: DataFrame) -> DataFrame:
-    """item_id, print, at, hash, slots for each window of each item.
+    """item_id, at, hash, item_slots, how, size for each window of each item.
 
     An item with fewer than ``WINDOW`` words is one window of its own length.
     """
     def cut(batch: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray) -> pa.RecordBatch:
-        row, shape, own, placeholder = template(data, offsets)
-        per_row = np.bincount(row, minlength=len(offsets) - 1)
-        out: list[tuple[int, int, int, list[int]]] = []
+        t = template(data, offsets)
+        per_row = np.bincount(t.row, minlength=len(offsets) - 1)
+        first = np.cumsum(per_row) - per_row
+        out: list[tuple] = []
+
+        def add(how: int, size: int, chosen: np.ndarray) -> np.ndarray:
+            at, hashes = _windows(t, how, size)
+            right = chosen[t.row[at]]
+            at, hashes = at[right], hashes[right]
+            rows = t.row[at]
+            out.extend(zip(
+                rows.tolist(), (at - first[rows]).tolist(), _signed(hashes).tolist(),
+                _slots(t, how, at, size), [how] * len(at), [size] * len(at),
+            ))
+            return np.isin(np.arange(len(per_row)), rows)
+
+        plain = np.zeros(len(per_row), bool)
         for size in range(LEAST_WORDS, WINDOW + 1):
-            at, hashes = _windows(row, shape, placeholder, size)
-            right = per_row[row[at]] >= WINDOW if size == WINDOW else per_row[row[at]] == size
-            for place, value in zip(at[right].tolist(), _signed(hashes[right]).tolist()):
-                held = slice(place, place + size)
-                out.append((row[place], place, value, _signed(own[held][placeholder[held]]).tolist()))
-        rows, places, values, slots = map(list, zip(*out)) if out else ([], [], [], [])
+            chosen = per_row >= WINDOW if size == WINDOW else per_row == size
+            if chosen.any():
+                plain |= add(PLAIN, size, chosen)
+                add(EQUAL, size, chosen)
+        for size in np.unique(per_row[~plain & (per_row >= LEAST_WORDS)]).tolist():
+            add(WHOLE, size, ~plain & (per_row == size))
+        for size in range(LEAST_SENTENCE, LEAST_WORDS):
+            add(SENTENCE, size, per_row == size)
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.int64())
+        rows, *columns = (
+            pa.array(c, k) for c, k in zip(list(zip(*out)) or [()] * len(kinds), kinds)
+        )
         return pa.record_batch(
-            [batch.column("item_id").take(pa.array(rows, pa.int64())), pa.array(places, pa.int64()),
-             pa.array(values, pa.int64()), pa.array(slots, pa.list_(pa.int64()))],
-            ["item_id", "at", "hash", "item_slots"],
+            [batch.column("item_id").take(rows), *columns],
+            ["item_id", "at", "hash", "item_slots", "how", "size"],
         )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return common.by_row_slices(batches, "text", cut)
 
     items = benchmark.where("item_id is not null").select("item_id", "text")
-    return items.mapInArrow(work, "item_id long, at long, hash long, item_slots array<long>")
+    return items.mapInArrow(
+        work, "item_id long, at long, hash long, item_slots array<long>, how long, size long"
+    )
+
 
+def _found(docs: DataFrame, wanted: np.ndarray, forms: list[tuple[int, int]]) -> DataFrame:
+    """Windows of the documents whose hash is wanted: doc_id, print, doc_at, hash, doc_slots.
 
-def _found(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
-    """Windows of the documents whose hash is wanted: doc_id, print, doc_at, hash, doc_slots."""
+    ``forms`` are the ways and sizes in which the benchmark has windows.
+    """
     ordered = np.sort(wanted)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def cut(batch: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray) -> pa.RecordBatch | None:
-            row, shape, own, placeholder = template(data, offsets)
+            t = template(data, offsets)
             rows, places, values, slots = [], [], [], []
-            first = np.searchsorted(row, np.arange(len(offsets)))
-            for size in range(LEAST_WORDS, WINDOW + 1):
-                at, hashes = _windows(row, shape, placeholder, size)
+            first = np.searchsorted(t.row, np.arange(len(offsets)))
+            for how, size in forms:
+                at, hashes = _windows(t, how, size)
                 hit = _among(_signed(hashes), ordered)
-                for place, value in zip(at[hit].tolist(), _signed(hashes[hit]).tolist()):
-                    held = slice(place, place + size)
-                    rows.append(int(row[place]))
-                    places.append(place - int(first[row[place]]))
-                    values.append(value)
-                    slots.append(_signed(own[held][placeholder[held]]).tolist())
+                at = at[hit]
+                rows += t.row[at].tolist()
+                places += (at - first[t.row[at]]).tolist()
+                values += _signed(hashes[hit]).tolist()
+                slots += _slots(t, how, at, size)
             if not rows:
                 return None
             at_rows = pa.array(rows, pa.int64())
@@ -182,14 +272,19 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) ->
     table has to be small.
     """
     items = common.stored(item_windows(benchmark))
-    totals = items.groupBy("item_id").agg(F.count_distinct("at").alias("n_windows"))
+    plain, whole = F.col("how") == PLAIN, F.col("how") >= WHOLE
+    totals = items.groupBy("item_id").agg(
+        F.count_distinct("at").alias("n_windows"),
+        F.count_distinct(F.when(plain, F.col("at"))).alias("n_plain"),
+    )
+    forms = [(r["how"], r["size"]) for r in items.select("how", "size").distinct().collect()]
     hashes = items.select("hash").distinct()
     passes = max(1, -(-hashes.count() // PASS_WINDOWS))
     found = None
     for number in range(passes):
         own = hashes.where(F.pmod(F.xxhash64("hash"), F.lit(passes)) == number)
         wanted = own.toPandas()["hash"].to_numpy(np.int64)
-        part = _found(docs, wanted).distinct()
+        part = _found(docs, wanted, forms).distinct()
         found = part if found is None else found.union(part)
     key = ["doc_id", "print", "item_id"]
     met = common.stored(_occurrences(found.join(items, "hash").join(totals, "item_id"), key))
@@ -213,10 +308,14 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) ->
     )
     judged = met.alias("m").join(agreed.alias("a"), same("m", "a"), "left").where(consistent)
     counted = judged.groupBy(*(f"m.{c}" for c in key)).agg(
-        F.count_distinct("m.at").alias("n_found"), F.first("m.n_windows").alias("n_windows")
+        F.count_distinct("m.at").alias("n_found"), F.first("m.n_windows").alias("n_windows"),
+        F.count_distinct(F.when(plain, F.col("m.at"))).alias("plain_found"),
+        F.first("m.n_plain").alias("n_plain"), F.max(whole).alias("whole"),
     )
+    enough = F.col("n_found") >= F.lit(coverage) * F.col("n_windows")
+    enough |= (F.col("n_plain") > 0) & (F.col("plain_found") >= F.lit(coverage) * F.col("n_plain"))
     return (
-        counted.where(F.col("n_found") >= F.lit(coverage) * F.col("n_windows"))
+        counted.where(enough | F.col("whole"))
         .groupBy("doc_id", "print", "item_id")
         .agg(F.max("n_found").alias("n_found"))
     )
@@ -239,7 +338,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, n_items, item_ids (ascending), contaminated for each row of ``docs``.
 
     Null or empty texts hold no window and are clean; repeated rows are judged alike,
-    as are rows without doc_id. Items without id or with fewer than ``LEAST_WORDS``
+    as are rows without doc_id. Items without id or with fewer than ``LEAST_SENTENCE``
     words match nothing. Extra columns are ignored; an empty table gives no rows.
     """
     dirty = leaks(docs, benchmark).groupBy("doc_id", "print").agg(

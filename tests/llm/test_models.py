@@ -117,6 +117,28 @@ def test_several_versions_of_one_item(spark):
     assert {r.doc_id for r in decontam.leaks(df, items).collect()} == {0, 1, 2, 3, 4, 9}
 
 
+def test_items_of_few_plain_words(spark):
+    """Items of numbers, short ones and unspaced ones: copies, other values, and chance."""
+    items = [
+        (1, "What is 12 + 30 * 4 - 7 / 2?"), (2, "What is 2 + 3?"), (3, "小明有12个苹果，又买了30个"),
+        (4, "Sum 1 2 3 4 5 6 7 8 9 10 11 12"), (5, "7 8 9 10 11 12 13 14 15 16"), (6, "too short"),
+    ]
+    docs = [
+        (0, "A sheet. What is 12 + 30 * 4 - 7 / 2? Next."), (1, "So: what is 5 + 8 * 9 - 3 / 6?"),
+        (2, "A sheet.\nWhat is 2 + 3? Five."), (3, "she knows what is 2 3 times that"),
+        (4, "前文。小明有55个苹果，又买了70个。后文"), (5, "Sum 1 2 3 4 5 6 7 8 9 10 11 12"),
+        (6, "Table 31 32 33 34 35 36 37 38 39 40 41 42"), (7, "x 7 8 9 10 11 12 13 14 15 16"),
+        (8, "too short"), (9, "What is it that 12 or 30 people of 4 to 7 years do 2 times"),
+    ]
+    got = decontam.contamination(
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        spark.createDataFrame(items, "item_id long, text string"),
+    ).collect()
+    assert {r.doc_id: r.item_ids for r in got} == {
+        0: [1], 1: [1], 2: [2], 3: [], 4: [3], 5: [4], 6: [], 7: [5], 8: [], 9: []
+    }
+
+
 def test_passes_over_a_large_benchmark(spark, monkeypatch):
     monkeypatch.setattr(decontam, "PASS_WINDOWS", 5)
     df = spark.createDataFrame([(1, ITEM), (2, "other")], "doc_id long, text string")
