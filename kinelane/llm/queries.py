@@ -10,11 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from kinelane.llm import (
     decontam,
     huffman,
+    manifest,
     near_dedup,
     packing,
     page_text,
+    piece_codec,
     quality_rules,
     secret_scan,
+    spelling,
     token_counts,
     toxicity,
     url_rules,
@@ -71,12 +74,25 @@ def op10_exact_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), str(path))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op12_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return piece_codec.digests(piece_codec.round_trip(table(spark, sf_dir, "documents"), str(path)))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.verified(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
         op1_url_rules, op2_secret_scan, op3_page_text, op4_minhash_near_dedup, op5_toxicity_chain,
         op6_host_quality, op7_token_counts, op8_template_decontamination, op9_huffman_ids,
-        op10_exact_packing,
+        op10_exact_packing, op11_spelling_variants, op12_piece_codec, op13_merkle_manifest,
     )
 }
 ORACLE: dict[str, str] = {
