@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kinelane.llm import twins
 from kinelane.llm.common import stored
 
 FANOUT = 8
@@ -219,3 +220,44 @@ def verified(docs: DataFrame) -> DataFrame:
         digest(siblings(F.col("path"))).alias("proof_sha256"), "folded_root",
         (F.col("folded_root") == F.col("root")).alias("verified"),
     )
+
+
+#: Levels of the SQL twin: enough for 8 ** 9 rows of a language, and as many languages.
+SQL_LEVELS = 9
+
+
+def _sql() -> str:
+    def field(name: str, value: str) -> str:
+        return f"coalesce(strlen({value}::VARCHAR) || ':' || {value}::VARCHAR, '{ABSENT}')"
+
+    def row(text: str) -> str:
+        return f"sha256({' || '.join(field(c, text if c == 'text' else c) for c in FIELDS)})"
+
+    lowered = f"translate(text, '{_UPPER}', '{_LOWER}')"
+    crc = twins.crc32_of(twins.bytes_of("doc_id::VARCHAR"))
+    parts = [
+        f"rows AS (SELECT doc_id, lang, {row('text')} AS h, "
+        f"CASE WHEN doc_id IS NOT NULL AND {crc} % {TAMPERED} = 0 THEN {row(lowered)} END AS other FROM documents)",
+        "leaves AS (SELECT *, lang AS g, row_number() OVER () AS id, "
+        "row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, h) - 1 AS pos, "
+        "count(*) OVER (PARTITION BY lang) AS n FROM rows)",
+        *twins.tree_levels("low", "leaves", FANOUT, SQL_LEVELS),
+        f"subroots AS (SELECT g AS lang, h, 0 AS g, row_number() OVER (ORDER BY g NULLS FIRST) - 1 AS pos, "
+        f"count(*) OVER () AS n FROM low{SQL_LEVELS})",
+        *twins.tree_levels("top", "subroots", FANOUT, SQL_LEVELS),
+        "start AS (SELECT id, g, pos, coalesce(other, h) AS folded, '' AS proof FROM leaves)",
+        *twins.tree_climb("start", "low", FANOUT, SQL_LEVELS),
+        "turn AS (SELECT u.id, s.g, s.pos, u.folded, u.proof "
+        f"FROM low_up{SQL_LEVELS - 1} u JOIN subroots s ON s.lang IS NOT DISTINCT FROM u.g)",
+        *twins.tree_climb("turn", "top", FANOUT, SQL_LEVELS),
+    ]
+    return (
+        f"WITH {', '.join(parts)} "
+        "SELECT l.doc_id, l.h AS leaf, s.h AS subroot, t.h AS root, sha256(u.proof) AS proof_sha256, "
+        "u.folded AS folded_root, u.folded = t.h AS verified FROM leaves l "
+        f"JOIN top_up{SQL_LEVELS - 1} u ON u.id = l.id "
+        f"JOIN subroots s ON s.lang IS NOT DISTINCT FROM l.lang CROSS JOIN top{SQL_LEVELS} t"
+    )
+
+
+ORACLE = _sql()

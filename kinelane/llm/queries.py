@@ -100,4 +100,6 @@ ORACLE: dict[str, str] = {
     "op2_secret_scan": secret_scan.ORACLE,
     "op4_minhash_near_dedup": near_dedup.ORACLE,
     "op6_host_quality": quality_rules.ORACLE,
+    "op11_spelling_variants": spelling.ORACLE,
+    "op13_merkle_manifest": manifest.ORACLE,
 }

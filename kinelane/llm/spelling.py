@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinelane.llm import common
+from kinelane.llm import common, twins
 from kinelane.llm.tokens import ragged
 
 #: Fixed values of the word list: one run in so many loses a code point.
@@ -404,3 +404,53 @@ def variants(docs: DataFrame) -> DataFrame:
     return ended.select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n"
     )
+
+
+def _sql() -> str:
+    crc = twins.crc32_of(twins.bytes_of("coalesce(doc_id::VARCHAR, '') || ':' || run"))
+    upper, lower = (bytes(range(first, first + 26)).decode() for first in (0x41, 0x61))
+    return rf"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, run, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, '{upper}', '{lower}'),
+                                             '[a-z\x{{00C0}}-\x{{00FF}}]+')) AS run
+    FROM documents)
+  WHERE length(run) >= {LEAST_LENGTH} GROUP BY doc_id, run
+), hashed AS (
+  SELECT run, n, {crc} AS h FROM runs
+), counted AS (
+  SELECT CASE WHEN h % {THINNED} = 0
+              THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2)
+              ELSE run END AS word, sum(n)::BIGINT AS n
+  FROM hashed GROUP BY 1
+), vocab AS (
+  SELECT word, n FROM counted WHERE length(word) >= {LEAST_LENGTH} AND n >= {LEAST_COUNT}
+), places AS (
+  SELECT word, n, unnest(range(length(word))) AS i FROM vocab
+), cut AS (
+  SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest,
+         substr(word, 1, i) || '*' || substr(word, i + 2) AS pattern
+  FROM places
+), pairs AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM cut a JOIN cut b ON a.pattern = b.pattern AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cut a JOIN vocab b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM cut a JOIN vocab b ON a.rest = b.word
+), best AS (
+  SELECT word, count(*) AS n_near, arg_min(struct_pack(near, near_n), struct_pack(m := -near_n, near)) AS b
+  FROM pairs GROUP BY word
+), found AS (
+  SELECT v.word, v.n, coalesce(b.n_near, 0) AS n_near,
+         CASE WHEN b.b.near_n >= {TIMES} * v.n THEN b.b.near END AS form,
+         CASE WHEN b.b.near_n >= {TIMES} * v.n THEN b.b.near_n END AS form_n
+  FROM vocab v LEFT JOIN best b ON b.word = v.word
+), chain(word, now, next) AS (
+  SELECT word, word, form FROM found
+  UNION ALL
+  SELECT c.word, f.word, f.form FROM chain c JOIN found f ON f.word = c.next
+)
+SELECT f.word, f.form, c.now AS root, f.n, f.n_near, f.form_n
+FROM found f JOIN chain c ON c.word = f.word AND c.next IS NULL
+"""
+
+
+ORACLE = _sql()
