@@ -12,7 +12,7 @@ from kinelane.functions import payload, rules
 from kinelane.operators import cursor, history, live, snapshot, views
 from kinelane.operators.kinematics import numbered, with_kinematics
 from kinelane.operators.ordered import own, pinned
-from kinelane.plans import closed_days
+from kinelane.plans import carried, closed_days, day_chain
 from kinelane.schema import FIELDS, Params, with_event_date
 from kinelane.sources.events import START, events_after, load_events, plain, readings
 from kinelane.sources.files import new_table_path
@@ -360,6 +360,53 @@ def _from_closed_days(name: str, change: Callable[[DataFrame], DataFrame] = plai
     return query
 
 
+# --- chained days ------------------------------------------------------------------
+
+
+def _spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The readings spread over the month that their events span."""
+    slow = F.lit(float(START)) + (F.col("time") - START) * 600
+    return pinned(with_event_date(plain(_rows(spark, sf_dir)).withColumn("time", slow)))
+
+
+def _from_chain(name: str, params: Params = REAL_TIME) -> Query:
+    """A historical result after three refreshes of the chain.
+
+    The first sees every third reading of the first half, and the second the first half,
+    so closed days are replayed; the third sees all.
+    """
+
+    def query(spark, sf_dir):
+        rows = _spread(spark, sf_dir)
+        first, last = rows.agg(F.min("time"), F.max("time")).first()
+        half = rows.filter(F.col("time") < (first + last) / 2)
+        base = new_table_path(spark)
+        for seen in (half.filter("_id % 3 = 0"), half):
+            with day_chain.past_analyses(spark, seen, base, params, last):
+                pass
+        with day_chain.past_analyses(spark, rows, base, params, last) as (tables, _):
+            return tables[name]
+
+    return query
+
+
+#: Ten days: some closed days fall out wholly, and one in part.
+SHORT_MEMORY = Params(score_window_seconds=36_000, retention_seconds=864_000.0)
+
+
+def latest_three_carried(spark, sf_dir):
+    """The newest three readings of each active plate, carried along over five ticks."""
+    rows = pinned(plain(_rows(spark, sf_dir)))
+    latest = rows.agg(F.max("time")).first()[0]
+    base, before = new_table_path(spark), None
+    for tick in range(5):
+        # Readings come in out of order.
+        new = rows.filter(F.pmod("_id", F.lit(5)) == tick)
+        newest = new.agg(F.max("time")).first()[0]
+        before = carried.advance(spark, base, new, tick, before, STOCK, newest)
+    return snapshot.snapshot(before.rows, latest - STOCK.live_seconds).select("plate", "_id", "row")
+
+
 # --- incomplete readings -----------------------------------------------------------
 
 
@@ -442,6 +489,12 @@ QUERIES: dict[str, Query] = {
     "dangerous_driving_closed_days": _from_closed_days("alternative"),
     "banned_vehicles_gaps_closed_days": _from_closed_days("historical3", lambda df: _gappy(df)),
     "dangerous_driving_gaps_closed_days": _from_closed_days("alternative", lambda df: _gappy(df)),
+    "top_road_vehicles_chained": _from_chain("historical1"),
+    "road_stats_chained": _from_chain("historical2"),
+    "banned_vehicles_chained": _from_chain("historical3"),
+    "banned_vehicles_retention_chained": _from_chain("historical3", SHORT_MEMORY),
+    "dangerous_driving_chained": _from_chain("alternative"),
+    "latest_three_carried": latest_three_carried,
     "infraction_flags_gaps": infraction_flags_gaps,
     "infraction_flags_gaps_split": infraction_flags_gaps_split,
     "driving_scores_gaps_split": driving_scores_gaps_split,

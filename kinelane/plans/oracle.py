@@ -282,6 +282,19 @@ ORACLE |= {
     ),
 }
 
+# The chain gives what one pass over the month gives.
+_MONTH_END = "(SELECT max(time) FROM spread)"
+ORACLE |= {
+    "top_road_vehicles_chained": ORACLE["top_road_vehicles_closed_days"],
+    "road_stats_chained": ORACLE["road_stats_closed_days"],
+    "banned_vehicles_chained": ORACLE["banned_vehicles_closed_days"],
+    "banned_vehicles_retention_chained": _spread(
+        _BANNED.format(least=1, where=f"WHERE {_MONTH_END} - time < 864000"), _FLAGS
+    ),
+    "dangerous_driving_chained": ORACLE["dangerous_driving_closed_days"],
+    "latest_three_carried": ORACLE["latest_three"],
+}
+
 # Every 13th reading lacks a value: it counts for the speed of others, not for itself.
 _GAPPY = """
 complete AS (SELECT * FROM moving WHERE _id % 13 <> 0)"""

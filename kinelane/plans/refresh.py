@@ -7,7 +7,8 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from kinelane.operators import cursor as cut_off
@@ -62,6 +63,17 @@ def past_analyses(
     }
 
 
+def _observed(observation: Observation) -> dict:
+    """What was observed on the way; nothing if there was no row.
+
+    A part of a plan that turns out empty is left out, and what observes it with it.
+    """
+    try:
+        return observation.get
+    except Py4JJavaError:
+        return {}
+
+
 @contextmanager
 def whole_history(
     spark: SparkSession,
@@ -104,13 +116,16 @@ def run_once(
     historical=whole_history,
     fmt: str = "parquet",
     options: dict[str, str] | None = None,
+    newest: DataFrame | None = None,
 ) -> Cursor:
     """Compute and commit all result tables; returns the cut-off of the next run.
 
-    ``historical`` is ``whole_history``, or ``open_days`` for a history that is too
-    long to read on every run. ``fmt`` and ``options`` say where the tables go. The
-    times reported are those of each table's own action; the first of a group also
-    fills what the others share.
+    ``historical`` is ``whole_history``, or ``open_days`` or ``day_chain.chained_days`` for
+    a history that is too long to read on every run. ``fmt`` and ``options`` say where the
+    tables go. ``newest`` has at least the newest three readings of each plate, as
+    ``carried`` keeps them; without it the lookback is scanned. The times reported are
+    those of each table's own action; the first of a group also fills what the others
+    share, and the sizes are observed on the way.
     """
     seconds: dict[str, float] = {}
     cut = cursor.cut
@@ -129,16 +144,26 @@ def run_once(
         write(first, table, begun)
         together(spark, [partial(write, n, t) for n, t in others])
 
-    window = since(history, cut - params.lookback_seconds)
+    window = since(history if newest is None else newest, cut - params.lookback_seconds)
     begun = clock.monotonic()
+    read, seen = Observation(), Observation()
+    if newest is None:
+        window = window.observe(read, F.count_if(F.col("time") > F.lit(float(cut))).alias("n"))
     # At most `latest` rows per active plate are kept, then one per plate.
-    with scratch_tables(spark), kept(snapshot(window, cut, params)) as snap:
+    # The latest reading of each active plate is in the snapshot.
+    snap = snapshot(window, cut, params).observe(
+        seen, F.max("time").alias("latest"), F.count(F.lit(1)).alias("n")
+    )
+    with scratch_tables(spark), kept(snap) as snap:
         with kept(with_collision_risk(with_kinematics(snap))) as vehicles:
             write_all(live_analyses(snap, vehicles), begun)
-        # The latest reading of each active plate is in the snapshot.
-        latest, batch_rows = snap.agg(F.max("time"), F.count(F.lit(1))).first()
+        sizes = _observed(seen)
+        latest, batch_rows = sizes.get("latest"), sizes.get("n") or 0
 
-    recent_rows = since(history, cut).count()
+    # What is carried along does not hold every recent reading.
+    recent_rows = (
+        _observed(read).get("n") or 0 if newest is None else since(history, cut).count()
+    )
     begun = clock.monotonic()
     with scratch_tables(spark):
         with historical(spark, history, base, params, as_of, segment_rows) as found:

@@ -23,6 +23,12 @@ def remove(spark: SparkSession, path: str) -> None:
     files.delete(target, True)
 
 
+def modified(spark: SparkSession, path: str) -> float:
+    """When a file was last written, in seconds since the epoch."""
+    target, files = _resolve(spark, path)
+    return files.getFileStatus(target).getModificationTime() / 1000
+
+
 def names(spark: SparkSession, path: str) -> list[str]:
     """What lies directly in a folder; nothing if there is no such folder."""
     target, files = _resolve(spark, path)

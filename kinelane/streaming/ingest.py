@@ -1,7 +1,8 @@
 """Structured Streaming ingestion: payloads -> raw history and quarantine.
 
 Decoding is stateless, so late readings are never dropped: how far back a late
-reading still counts is decided by the time filters of the analyses.
+reading still counts is decided by the time filters of the analyses. Repeats can be
+dropped by a state of what arrived lately, which drops nothing late either.
 """
 
 from __future__ import annotations
@@ -70,15 +71,37 @@ def publish(readings: DataFrame, fmt: str, options: Mapping[str, str]) -> None:
     lines.write.format(fmt).options(**options).mode("append").save()
 
 
+def without_repeats(decoded: DataFrame, within: str) -> DataFrame:
+    """Drop readings that were sent before, at most ``within`` ago.
+
+    The same reading is one of the same plate, time and place. What counts is when it
+    arrives, not the reading's own time, so nothing is dropped for being late; a repeat
+    that comes later than ``within`` is kept. The state holds one key for each reading
+    that arrived within that time. Bad lines are all kept.
+    """
+    arrived = decoded.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", within)
+    # Bad lines have no fields to compare; their ids differ.
+    bad = arrived.withColumn("_bad", F.when(F.col("reason").isNotNull(), F.col("_id")))
+    once = bad.dropDuplicatesWithinWatermark(["plate", "time", "x", "y", "_bad"])
+    return once.drop("_arrived", "_bad")
+
+
 def start_ingest(
-    payloads: DataFrame, path: str, checkpoint: str, trigger: Mapping = EVERY
+    payloads: DataFrame,
+    path: str,
+    checkpoint: str,
+    trigger: Mapping = EVERY,
+    repeats_within: str | None = None,
 ) -> StreamingQuery:
     """Append payloads to a history folder, each exactly once.
 
     One pass over the source writes both parts: good readings by day, and bad
-    lines with the reason in a part of their own.
+    lines with the reason in a part of their own. With ``repeats_within`` a reading that
+    is sent again within that time is dropped.
     """
     decoded = decode(payloads, keep=("_id",))
+    if repeats_within is not None:
+        decoded = without_repeats(decoded, repeats_within)
     good = F.col("reason").isNull()
     rows = with_event_date(decoded).withColumns({
         "accepted": good,
