@@ -7,6 +7,7 @@ memory of a task follows the slice or the longest single text, never the partiti
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -15,6 +16,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,8 +26,11 @@ from kinelane.sources.files import new_table_path
 #: handled alone.
 SLICE_BYTES = 1 << 20
 
+#: Byte ranges longer than this are hashed one by one.
+LONG_RANGE = 512
+
 _RANDOM = np.random.default_rng(20240229)
-_BYTE = _RANDOM.integers(1, 1 << 63, 256, dtype=np.uint64)
+_RANDOM.integers(1, 1 << 63, 256, dtype=np.uint64)  # keeps the factors that follow as they were
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 #: One odd factor for each place of a word in a window.
@@ -126,19 +131,70 @@ def lowered(data: np.ndarray) -> np.ndarray:
     return _LOWER[data]
 
 
-def running_sums(data: np.ndarray) -> np.ndarray:
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE[data] * powers(len(data)), out=sums[1:])
-    return sums
-
-
 def hashes_between(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hashes of byte ranges, which do not depend on where a range lies."""
+    """Hashes of ranges of mixed values from their running sums, wherever a range lies."""
     return mixed((sums[ends] - sums[starts]) * powers(len(sums), True)[starts])
 
 
+#: What is left of eight bytes if a range has only so many more.
+_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+
+
+def blocks(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on, as one number; zeros follow the end."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    return np.ndarray((len(data) + 1,), "<u8", buffer=padded, strides=(1,))
+
+
+def first_bytes(data: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
+    """Up to eight bytes from each start on, mixed; different bytes give different numbers."""
+    return mixed((blocks(data)[starts] & _MASKS[size]) + FACTORS[size])
+
+
 def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    return hashes_between(running_sums(data), starts, ends)
+    """64-bit hashes of byte ranges, which do not depend on where a range lies.
+
+    Eight bytes at a time go into two lanes that are mixed in different ways, so what would
+    cancel out in one does not in the other.
+    """
+    eight = blocks(data)
+    sizes = ends - starts
+    one = mixed(sizes.astype(np.uint64) + FACTORS[61])
+    other = mixed(one ^ FACTORS[62])
+    for r in np.flatnonzero(sizes > LONG_RANGE):
+        whole = xxhash.xxh3_128_intdigest(data[starts[r] : ends[r]].tobytes())
+        one[r], other[r] = whole & (1 << 64) - 1, whole >> 64
+    active = np.flatnonzero((sizes > 0) & (sizes <= LONG_RANGE))
+    step = 0
+    while len(active):
+        left = sizes[active] - step
+        block = eight[starts[active] + step] & _MASKS[np.minimum(left, 8)]
+        one[active] = mixed((one[active] ^ block) * FACTORS[60])
+        other[active] = mixed((other[active] + block) * FACTORS[59])
+        active = active[left > 8]
+        step += 8
+    return mixed(one + other * FACTORS[58])
+
+
+def same_ranges(
+    data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, other: np.ndarray, others: np.ndarray
+) -> np.ndarray:
+    """Whether ranges of two byte arrays, of the same sizes, hold the same bytes."""
+    here, there = blocks(data), blocks(other)
+    same = np.ones(len(starts), bool)
+    for r in np.flatnonzero(sizes > LONG_RANGE):
+        same[r] = (
+            data[starts[r] : starts[r] + sizes[r]] == other[others[r] : others[r] + sizes[r]]
+        ).all()
+    active = np.flatnonzero((sizes > 0) & (sizes <= LONG_RANGE))
+    step = 0
+    while len(active):
+        left = sizes[active] - step
+        mask = _MASKS[np.minimum(left, 8)]
+        same[active] &= ((here[starts[active] + step] ^ there[others[active] + step]) & mask) == 0
+        active = active[left > 8]
+        step += 8
+    return same
 
 
 def runs(kind: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -208,3 +264,14 @@ def by_row_slices(
             )
             if out is not None:
                 yield out
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system, as workers stay for the tasks to come."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_C, "malloc_trim"):
+        _C.malloc_trim(0)
+
+
+_C = ctypes.CDLL(None)

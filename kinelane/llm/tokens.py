@@ -3,7 +3,7 @@
 Both vocabularies cut a text into pieces (a word with its space, a run of digits, of
 punctuation, of white space) and encode each piece by itself. Texts of ASCII and Latin
 letters are cut with numpy on their bytes; a piece that was met before is looked up by
-its 64-bit hash, and only new ones go through the library. Any other text, and one that
+its 64-bit hash and compared byte by byte, and only new ones go through the library. Any other text, and one that
 may hold a special token, goes through the library whole. The ids are the same.
 """
 
@@ -137,6 +137,24 @@ class PieceCache:
         self.first = np.empty(0, np.int64)
         self.count = np.empty(0, np.int64)
         self.flat = np.empty(0, np.uint32)
+        self.bytes = np.empty(0, np.uint8)
+        self.begin = np.empty(0, np.int64)
+        self.size = np.empty(0, np.int64)
+
+    def _add(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Codes of pieces that are encoded now, with their bytes."""
+        raw = data.tobytes()
+        made = self.encode([raw[a:b].decode() for a, b in zip(starts.tolist(), ends.tolist())])
+        counts = np.fromiter(map(len, made), np.int64, len(made))
+        code = len(self.count) + np.arange(len(made))
+        sizes = ends - starts
+        self.begin = np.concatenate([self.begin, len(self.bytes) + np.cumsum(sizes) - sizes])
+        self.size = np.concatenate([self.size, sizes])
+        self.bytes = np.concatenate([self.bytes, data[ragged(starts, sizes)]])
+        self.first = np.concatenate([self.first, len(self.flat) + np.cumsum(counts) - counts])
+        self.count = np.concatenate([self.count, counts])
+        self.flat = np.concatenate([self.flat, *made]).astype(np.uint32)
+        return code
 
     def codes(
         self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray
@@ -152,22 +170,23 @@ class PieceCache:
                 self.clear()
                 known[:] = False
             new = np.flatnonzero(~known)
-            raw = data.tobytes()
-            pieces = [
-                raw[a:b].decode()
-                for a, b in zip(starts[example[new]].tolist(), ends[example[new]].tolist())
-            ]
-            made = self.encode(pieces)
-            sizes = np.fromiter(map(len, made), np.int64, len(made))
-            code = len(self.count) + np.arange(len(new))
-            self.first = np.concatenate([self.first, len(self.flat) + np.cumsum(sizes) - sizes])
-            self.count = np.concatenate([self.count, sizes])
-            self.flat = np.concatenate([self.flat, *made]).astype(np.uint32)
+            code = self._add(data, starts[example[new]], ends[example[new]])
             place = np.searchsorted(self.hashes, distinct[new])
             self.hashes = np.insert(self.hashes, place, distinct[new])
             self.code = np.insert(self.code, place, code)
             at = np.searchsorted(self.hashes, distinct)
-        return self.code[at][inverse]
+        codes = self.code[at][inverse]
+        # Pieces of one hash need not be one: each is held against the bytes remembered.
+        sizes = ends - starts
+        same = self.size[codes] == sizes
+        alike = np.flatnonzero(same)
+        same[alike] = common.same_ranges(
+            data, starts[alike], sizes[alike], self.bytes, self.begin[codes[alike]]
+        )
+        others = np.flatnonzero(~same)
+        if len(others):
+            codes[others] = self._add(data, starts[others], ends[others])
+        return codes
 
 
 class Encoder:

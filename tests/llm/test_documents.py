@@ -6,6 +6,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -302,3 +303,62 @@ def test_cached_pieces_give_the_librarys_ids(path, spaced, monkeypatch):
         flat, counts = encoder.ids(part, offsets[first : last + 1] - offsets[first])
         found += [part.tolist() for part in np.split(flat, np.cumsum(counts)[:-1])]
     assert found == ids_of(path, texts)
+
+
+def thue_morse(n):
+    """Two different words of two letters that cancel out in sums of powers."""
+    bits = [bin(i).count("1") & 1 for i in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+def test_words_that_sums_of_powers_mistake(spark):
+    """Different words of one hash in a plain polynomial are different everywhere."""
+    one, other = thue_morse(1024)
+    pairs = [thue_morse(n) for n in (8, 64, 512, 2048, 4096)]
+    for a, b in [(one, other), *pairs]:
+        data = np.frombuffer((a + b).encode(), np.uint8)
+        at = np.array([0, len(a)])
+        assert len(set(common.range_hashes(data, at, at + len(a)).tolist())) == 2
+    texts = [one, other, f"{one} {one[::-1]}", f"{other} {one[::-1]}", *[t for p in pairs for t in p]]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in near_dedup.near_groups(df).collect()}
+    assert got == near_components(dict(enumerate(texts)))[0]
+    ids = ids_of(BYTE, texts)
+    assert {r.doc_id: r.n_tokens for r in token_counts.counted(df, BYTE).collect()} == {
+        i: len(x) for i, x in enumerate(ids)
+    }
+    assert {r.doc_id: r.ids_crc32 for r in huffman.round_trip(df, BYTE).collect()} == {
+        i: crc(x + [2]) for i, x in enumerate(ids)
+    }
+
+
+def test_pieces_of_one_hash(monkeypatch):
+    """Pieces that share a hash are told apart by their bytes."""
+    monkeypatch.setattr(common, "range_hashes", lambda data, a, b: np.zeros(len(a), np.uint64))
+    encoder = tokens.Encoder(BYTE, True)
+    texts = ["one two three two one" + " x" * 400, "two " + "y" * 600, "three one", "y" * 599 + "z"]
+    data, offsets = common.utf8(pa.array(texts))
+    flat, counts = encoder.ids(data, offsets)
+    assert np.split(flat, np.cumsum(counts)[:-1])[0].tolist() == ids_of(BYTE, texts)[0]
+    assert flat.tolist() == [i for ids in ids_of(BYTE, texts) for i in ids]
+
+
+def test_ranges_are_the_same_only_byte_by_byte():
+    data = np.frombuffer(b"abcdefghij" * 200, np.uint8)
+    other = data.copy()
+    other[1900] ^= 1
+    starts, sizes = np.array([0, 10, 0, 1896, 1896]), np.array([2000, 600, 0, 4, 5])
+    assert common.same_ranges(data, starts, sizes, other, starts).tolist() == [False, True, True, True, False]
+
+
+def test_one_id_on_most_rows(spark):
+    """Rows of one id may be dealt to several parts; each has a place of its own in the files."""
+    rows = [(7, f"row {i} " * (1 + i % 5)) for i in range(300)] + [(i, "other") for i in range(20)] + [(None, "none")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(huffman.round_trip(df, BYTE).collect(), key=lambda r: r.start)
+    assert len(got) == len(rows)
+    assert [r.start for r in got] == np.concatenate([[0], np.cumsum([r.n_tokens for r in got])[:-1]]).tolist()
+    keys = [-1 if r.doc_id is None else r.doc_id for r in got]
+    assert keys == sorted(keys)
+    wanted = [(d, len(i) + 1, crc(i + [2])) for (d, _), i in zip(rows, ids_of(BYTE, [t for _, t in rows]))]
+    assert sorted(map(str, wanted)) == sorted(str((r.doc_id, r.n_tokens, r.ids_crc32)) for r in got)
