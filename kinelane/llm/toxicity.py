@@ -86,13 +86,13 @@ def _features(
     """
     starts, ends = common.runs(_KIND[data], offsets)
     row = np.searchsorted(offsets, starts, "right") - 1
-    sums = common.running_sums(common.lowered(data))
-    rows, hashes = [row], [common.hashes_between(sums, starts, ends)]
+    lower = common.lowered(data)
+    rows, hashes = [row], [common.range_hashes(lower, starts, ends)]
     for size in BEGINNINGS:
         longer = ends - starts > size
         first = starts[longer]
         rows.append(row[longer])
-        hashes.append(common.hashes_between(sums, first, first + size) ^ np.uint64(size))
+        hashes.append(common.first_bytes(lower, first, size))
     counts = _counts(data, offsets, np.bincount(row, minlength=len(offsets) - 1))
     return np.concatenate(rows), np.concatenate(hashes), counts
 
@@ -144,8 +144,8 @@ def scores(links: list[Link], data: np.ndarray, offsets: np.ndarray) -> list[np.
     return earlier
 
 
-def _sample(docs: DataFrame, labels: DataFrame, categories: list[str], limit: int) -> DataFrame:
-    """doc_id, categories, words, counts and a sketch of the labelled documents drawn.
+def _drawn(docs: DataFrame, labels: DataFrame, categories: list[str], limit: int) -> DataFrame:
+    """row, doc_id, text and categories of the labelled documents drawn, at most ``limit`` ids.
 
     A document with several labels has the highest; one with a missing label is not drawn.
     """
@@ -153,9 +153,15 @@ def _sample(docs: DataFrame, labels: DataFrame, categories: list[str], limit: in
         *(F.max(F.col(c).cast("double")).alias(c) for c in categories)
     ).dropna()
     drawn = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
+    # At most ``limit`` small rows, so the side is bounded whatever the tables hold.
+    joined = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
+    return joined.withColumn("row", F.monotonically_increasing_id())
 
+
+def _sketched(drawn: DataFrame, categories: list[str]) -> DataFrame:
+    """row, doc_id, categories, counts and a sketch of each text: a few hundred bytes."""
     def read(batch: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray) -> pa.RecordBatch:
-        row, hashes, counts = _features(data, offsets)
+        counts = _features(data, offsets)[2]
         plain = common.words(common.lowered(data), offsets)
         at, shingles = common.windows(plain.hashes, plain.row, 3)
         full, begins = np.unique(plain.row[at], return_index=True)
@@ -165,53 +171,101 @@ def _sample(docs: DataFrame, labels: DataFrame, categories: list[str], limit: in
         sketch: list[bytes | None] = [None] * len(counts)
         for place, text in enumerate(full):
             sketch[text] = minima[place].tobytes()
-        order = np.lexsort((hashes, row))
-        row, hashes = row[order], hashes[order]
-        new = np.ones(len(row), bool)
-        new[1:] = (row[1:] != row[:-1]) | (hashes[1:] != hashes[:-1])
-        bounds = np.searchsorted(row[new], np.arange(len(counts) + 1))
-        held = pa.ListArray.from_arrays(
-            pa.array(bounds.astype(np.int32)), pa.array(hashes[new].view(np.int64))
-        )
         return pa.record_batch(
-            [batch.column("doc_id"), *(batch.column(c) for c in categories), held,
-             pa.array(counts.tolist(), pa.list_(pa.float64())),
-             pa.array(sketch, pa.binary())],
-            ["doc_id", *categories, "words", "counts", "sketch"],
+            [batch.column("row"), batch.column("doc_id"), *(batch.column(c) for c in categories),
+             pa.array(counts.tolist(), pa.list_(pa.float64())), pa.array(sketch, pa.binary())],
+            ["row", "doc_id", *categories, "counts", "sketch"],
         )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return common.by_row_slices(batches, "text", read)
 
     kinds = ", ".join(f"{c} double" for c in categories)
-    # At most ``limit`` small rows, so the side is bounded whatever the tables hold.
-    joined = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
-    return joined.mapInArrow(
-        work, f"doc_id long, {kinds}, words array<long>, counts array<double>, sketch binary"
+    return drawn.mapInArrow(
+        work, f"row long, doc_id long, {kinds}, counts array<double>, sketch binary"
     )
 
 
-def _telling(sample: DataFrame, ids: DataFrame, category: str, n: int, positive: float) -> np.ndarray:
+def _sample(docs: DataFrame, labels: DataFrame, categories: list[str], limit: int) -> DataFrame:
+    """doc_id, categories, counts and a sketch of the labelled documents drawn."""
+    return _sketched(_drawn(docs, labels, categories, limit), categories)
+
+
+def _kept_rows(drawn: DataFrame, rows: np.ndarray) -> DataFrame:
+    spark = drawn.sparkSession
+    ids = spark.createDataFrame(pa.table({"row": pa.array(rows, pa.int64())}))
+    return drawn.join(F.broadcast(ids), "row", "left_semi")
+
+
+def _tallied(kept: DataFrame, categories: list[str]) -> DataFrame:
+    """word, a and k_<category>: documents with a word, and those of them in a category.
+
+    Tasks count a slice of texts before they hand words on.
+    """
+    names = [f"k_{c}" for c in categories]
+
+    def tally(batch: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray) -> pa.RecordBatch:
+        row, hashes, _ = _features(data, offsets)
+        order = np.lexsort((row, hashes))
+        row, hashes = row[order], hashes[order]
+        new = np.ones(len(row), bool)
+        new[1:] = (row[1:] != row[:-1]) | (hashes[1:] != hashes[:-1])
+        row, hashes = row[new], hashes[new]
+        words, first, n = np.unique(hashes, return_index=True, return_counts=True)
+        sums = [
+            np.add.reduceat(batch.column(c).to_numpy()[row], first) if len(row) else np.empty(0)
+            for c in categories
+        ]
+        return pa.record_batch(
+            [pa.array(words.view(np.int64)), pa.array(n), *map(pa.array, sums)], ["word", "a", *names]
+        )
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return common.by_row_slices(batches, "text", tally)
+
+    kinds = ", ".join(f"{c} double" for c in names)
+    parts = kept.select("text", *categories).mapInArrow(work, f"word long, a long, {kinds}")
+    sums = [F.sum(c).alias(c) for c in ("a", *names)]
+    return parts.groupBy("word").agg(*sums).where("a >= 3")
+
+
+def _telling(tallied: DataFrame, category: str, n: int, positive: float) -> np.ndarray:
     """Hashes of the words that tell most about a category, beyond what chance gives.
 
     Ranked by the likelihood ratio; as many are tested as there are words, and the bar
     follows their number.
     """
-    held = sample.join(ids, "doc_id").select(category, F.explode("words").alias("word"))
-    seen = held.groupBy("word").agg(F.count("*").alias("a"), F.sum(category).alias("k")).where("a >= 3")
     rate = positive / n
 
     def part(count, expected):
         return F.when(count > 0, count * F.log(count / expected)).otherwise(0.0)
 
-    a, k = F.col("a"), F.col("k")
+    a, k = F.col("a"), F.col(f"k_{category}")
     ratio = 2 * (part(k, a * rate) + part(a - k, a * (1 - rate)))
-    scored = common.stored(seen.select("word", ratio.alias("ratio")))
-    bar = 2 * np.log(max(scored.count(), 2)) - SLACK
+    scored = tallied.select("word", ratio.alias("ratio"))
+    bar = 2 * np.log(max(tallied.count(), 2)) - SLACK
     best = scored.where(F.col("ratio") > float(bar)).orderBy(F.desc("ratio"), "word").limit(WORDS)
     return np.sort(np.array([r["word"] for r in best.collect()], np.int64).view(np.uint64))
 
 
+def _hits(kept: DataFrame, words: np.ndarray) -> DataFrame:
+    """row and places: which of the words each text has, where it has any."""
+    def find(batch: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray) -> pa.RecordBatch | None:
+        row, hashes, _ = _features(data, offsets)
+        text, place = np.nonzero(_presence(row, hashes, len(offsets) - 1, words))
+        some, counts = np.unique(text, return_counts=True)
+        if not len(some):
+            return None
+        bounds = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+        places = pa.ListArray.from_arrays(pa.array(bounds), pa.array(place.astype(np.int32)))
+        return pa.record_batch([batch.column("row").take(pa.array(some)), places], ["row", "places"])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return common.by_row_slices(batches, "text", find)
+
+    return kept.select("row", "text").mapInArrow(work, "row long, places array<int>")
+
+
 def _first_of_copies(sketches: list[bytes | None]) -> np.ndarray:
     """Whether each text is no near copy of one before it that is none itself.
 
@@ -240,31 +294,25 @@ def train(
     docs: DataFrame, labels: DataFrame, categories: list[str], limit: int = SAMPLE_ROWS
 ) -> list[Link]:
     """The chain over ``categories``, 0/1 columns of ``labels``, in their order."""
-    sample = common.stored(_sample(docs, labels, categories, limit))
-    base = sample.select("doc_id", *categories, "counts", "sketch").toPandas()
-    base = base.sort_values("doc_id", kind="stable").drop_duplicates("doc_id").reset_index(drop=True)
+    drawn = common.stored(_drawn(docs, labels, categories, limit))
+    base = _sketched(drawn, categories).toPandas()
+    base = base.sort_values(["doc_id", "row"]).drop_duplicates("doc_id").reset_index(drop=True)
     base = base[_first_of_copies(base["sketch"].tolist())].reset_index(drop=True)
-    spark = docs.sparkSession
-    ids = spark.createDataFrame([(int(i),) for i in base["doc_id"]], "doc_id long")
-    kept = common.stored(
-        sample.join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", *categories, "words")
-    )
+    kept = _kept_rows(drawn, base["row"].to_numpy(np.int64))
+    tallied = common.stored(_tallied(kept, categories))
     counts = np.array(base["counts"].tolist()).reshape(len(base), 4)
-    place = {int(d): i for i, d in enumerate(base["doc_id"])}
+    place = {int(d): i for i, d in enumerate(base["row"])}
     fold = (common.mixed(base["doc_id"].to_numpy(np.int64).view(np.uint64)) % np.uint64(FOLDS)).astype(int)
     links: list[Link] = []
     earlier: list[np.ndarray] = []
     for category in categories:
         y = base[category].to_numpy(float)
         mixed = len(y) > 0 and 0 < y.sum() < len(y)
-        words = _telling(kept, ids, category, len(y), float(y.sum())) if mixed else np.empty(0, np.uint64)
+        words = _telling(tallied, category, len(y), float(y.sum())) if mixed else np.empty(0, np.uint64)
         present = np.zeros((len(base), len(words)))
         if len(words):
-            wanted = F.array(*(F.lit(int(w)) for w in words.view(np.int64)))
-            hits = kept.select("doc_id", F.array_intersect("words", wanted).alias("words"))
-            for row in hits.where(F.size("words") > 0).toLocalIterator():
-                own = np.array(row["words"], np.int64).view(np.uint64)
-                present[place[row["doc_id"]], np.searchsorted(words, own)] = 1
+            for hit in _hits(kept, words).toLocalIterator():
+                present[place[hit["row"]], hit["places"]] = 1
         x = _inputs(counts, earlier, present)
         links.append(Link(words, fit(x, y)))
         unseen = np.zeros(len(y))
