@@ -154,26 +154,32 @@ def first_bytes(data: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
 def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hashes of byte ranges, which do not depend on where a range lies.
 
-    Eight bytes at a time go into two lanes that are mixed in different ways, so what would
-    cancel out in one does not in the other.
+    Ranges of one size up to eight bytes have one hash only if they are the same: each step
+    is a bijection. Longer ones go into two lanes, eight bytes at a time, that are mixed in
+    different ways, so what would cancel out in one does not in the other.
     """
     eight = blocks(data)
     sizes = ends - starts
-    one = mixed(sizes.astype(np.uint64) + FACTORS[61])
+    out = eight[starts] & _MASKS[np.minimum(sizes, 8)]
+    one = mixed((sizes.astype(np.uint64) + FACTORS[61]) ^ out * FACTORS[60])
+    out = mixed(one)
+    more = np.flatnonzero(sizes > 8)
+    one = one[more]
     other = mixed(one ^ FACTORS[62])
-    for r in np.flatnonzero(sizes > LONG_RANGE):
-        whole = xxhash.xxh3_128_intdigest(data[starts[r] : ends[r]].tobytes())
+    for r in np.flatnonzero(sizes[more] > LONG_RANGE):
+        whole = xxhash.xxh3_128_intdigest(data[starts[more[r]] : ends[more[r]]].tobytes())
         one[r], other[r] = whole & (1 << 64) - 1, whole >> 64
-    active = np.flatnonzero((sizes > 0) & (sizes <= LONG_RANGE))
-    step = 0
+    active = np.flatnonzero(sizes[more] <= LONG_RANGE)
+    step = 8
     while len(active):
-        left = sizes[active] - step
-        block = eight[starts[active] + step] & _MASKS[np.minimum(left, 8)]
+        left = sizes[more[active]] - step
+        block = eight[starts[more[active]] + step] & _MASKS[np.minimum(left, 8)]
         one[active] = mixed((one[active] ^ block) * FACTORS[60])
         other[active] = mixed((other[active] + block) * FACTORS[59])
         active = active[left > 8]
         step += 8
-    return mixed(one + other * FACTORS[58])
+    out[more] = mixed(one + other * FACTORS[58])
+    return out
 
 
 def same_ranges(

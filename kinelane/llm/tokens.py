@@ -9,7 +9,9 @@ may hold a special token, goes through the library whole. The ids are the same.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -17,8 +19,10 @@ from tokenizers import Tokenizer
 
 from kinelane.llm import common
 
-#: Pieces that one Python worker remembers; beyond that it starts anew.
-CACHE_PIECES = 800_000
+#: Pieces that one Python worker remembers, about 45 bytes each; beyond that it starts anew.
+CACHE_PIECES = 1_500_000
+#: Pieces of one size up to this have one hash only if they are the same.
+PROVEN = 8
 
 SPACE, LETTER, DIGIT, OTHER, UNKNOWN = 0, 1, 2, 3, 4
 
@@ -127,33 +131,38 @@ def ragged(first: np.ndarray, counts: np.ndarray) -> np.ndarray:
 class PieceCache:
     """What each distinct piece was encoded to, by hash."""
 
-    def __init__(self, encode: Callable[[list[str]], list[np.ndarray]]):
+    def __init__(self, encode: Callable[[list[str]], list]):
         self.encode = encode
         self.clear()
 
     def clear(self) -> None:
         self.hashes = np.empty(0, np.uint64)
-        self.code = np.empty(0, np.int64)
-        self.first = np.empty(0, np.int64)
-        self.count = np.empty(0, np.int64)
+        self.code = np.empty(0, np.int32)
+        self.first = np.empty(0, np.int32)
+        self.count = np.empty(0, np.int32)
         self.flat = np.empty(0, np.uint32)
         self.bytes = np.empty(0, np.uint8)
-        self.begin = np.empty(0, np.int64)
-        self.size = np.empty(0, np.int64)
+        self.begin = np.empty(0, np.int32)
+        self.size = np.empty(0, np.int32)
 
     def _add(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Codes of pieces that are encoded now, with their bytes."""
         raw = data.tobytes()
         made = self.encode([raw[a:b].decode() for a, b in zip(starts.tolist(), ends.tolist())])
         counts = np.fromiter(map(len, made), np.int64, len(made))
+        flat = np.fromiter(chain.from_iterable(made), np.uint32, int(counts.sum()))
         code = len(self.count) + np.arange(len(made))
         sizes = ends - starts
-        self.begin = np.concatenate([self.begin, len(self.bytes) + np.cumsum(sizes) - sizes])
-        self.size = np.concatenate([self.size, sizes])
-        self.bytes = np.concatenate([self.bytes, data[ragged(starts, sizes)]])
-        self.first = np.concatenate([self.first, len(self.flat) + np.cumsum(counts) - counts])
-        self.count = np.concatenate([self.count, counts])
-        self.flat = np.concatenate([self.flat, *made]).astype(np.uint32)
+
+        def grown(old: np.ndarray, new: np.ndarray) -> np.ndarray:
+            return np.concatenate([old, new.astype(old.dtype)])
+
+        self.begin = grown(self.begin, len(self.bytes) + np.cumsum(sizes) - sizes)
+        self.size = grown(self.size, sizes)
+        self.bytes = grown(self.bytes, data[ragged(starts, sizes)])
+        self.first = grown(self.first, len(self.flat) + np.cumsum(counts) - counts)
+        self.count = grown(self.count, counts)
+        self.flat = grown(self.flat, flat)
         return code
 
     def codes(
@@ -176,10 +185,10 @@ class PieceCache:
             self.code = np.insert(self.code, place, code)
             at = np.searchsorted(self.hashes, distinct)
         codes = self.code[at][inverse]
-        # Pieces of one hash need not be one: each is held against the bytes remembered.
+        # Longer pieces of one hash need not be one: each is held against the bytes remembered.
         sizes = ends - starts
         same = self.size[codes] == sizes
-        alike = np.flatnonzero(same)
+        alike = np.flatnonzero(same & (sizes > PROVEN))
         same[alike] = common.same_ranges(
             data, starts[alike], sizes[alike], self.bytes, self.begin[codes[alike]]
         )
@@ -193,15 +202,17 @@ class Encoder:
     """Ids of whole texts; ``spaced`` as the vocabulary's way to cut pieces."""
 
     def __init__(self, path: str, spaced: bool):
+        # Tasks run side by side already; threads within one only cost.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.pieces = spaced_pieces if spaced else bare_pieces
         self.cache = PieceCache(self._encoded)
 
-    def _encoded(self, texts: list[str]) -> list[np.ndarray]:
+    def _encoded(self, texts: list[str]) -> list[list[int]]:
         out = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, np.uint32) for e in out]
+        return [e.ids for e in out]
 
     def ids(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of consecutive texts, end to end, and their number for each text."""
@@ -213,7 +224,7 @@ class Encoder:
             keep = ~odd[row]
             starts, ends, row = starts[keep], ends[keep], row[keep]
         codes = self.cache.codes(data, starts, ends)
-        counts = self.cache.count[codes]
+        counts = self.cache.count[codes].astype(np.int64)
         flat = self.cache.flat[ragged(self.cache.first[codes], counts)]
         per_row = np.bincount(row, counts, minlength=rows).astype(np.int64)
         if not odd.any():
@@ -223,7 +234,7 @@ class Encoder:
         whole = self._encoded([
             data[offsets[r] : offsets[r + 1]].tobytes().decode() for r in which
         ])
-        by_row = dict(zip(which.tolist(), whole))
+        by_row = {r: np.array(ids, np.uint32) for r, ids in zip(which.tolist(), whole)}
         parts = [by_row.get(r, flat[at[r] : at[r + 1]]) for r in range(rows)]
         return np.concatenate(parts), np.array([len(p) for p in parts], np.int64)
 

@@ -335,6 +335,7 @@ def test_words_that_sums_of_powers_mistake(spark):
 def test_pieces_of_one_hash(monkeypatch):
     """Pieces that share a hash are told apart by their bytes."""
     monkeypatch.setattr(common, "range_hashes", lambda data, a, b: np.zeros(len(a), np.uint64))
+    monkeypatch.setattr(tokens, "PROVEN", 0)
     encoder = tokens.Encoder(BYTE, True)
     texts = ["one two three two one" + " x" * 400, "two " + "y" * 600, "three one", "y" * 599 + "z"]
     data, offsets = common.utf8(pa.array(texts))

@@ -174,7 +174,7 @@ def test_pipeline_stage_by_stage(spark):
 
 def test_entry_names():
     names = entry.queries()
-    assert sum(n.startswith("op") for n in names) == 10 and "pipeline" in names
+    assert sum(n.startswith("op") for n in names) == 13 and "pipeline" in names
     assert "pipeline" not in entry.oracle_sql()
 
 
