@@ -42,8 +42,8 @@ PERCENT = 85
 LEAST_LOST = 1e-6
 #: Rows of a bucket, and texts of a cluster, in one block.
 BUCKET_BLOCK, CLUSTER_BLOCK = 1024, 384
-#: Up to so many clustered texts (24 bytes each), their ids go to the texts; beyond that
-#: both sides are dealt out by id.
+#: Up to so many clustered texts, or crowded buckets (at most 32 bytes each, so 32 MB), are
+#: sent to the other side of their join; beyond that both sides are dealt out by key.
 SENT_IDS = 1_000_000
 
 _PERMS = 192
@@ -275,6 +275,11 @@ def _in_blocks(members: DataFrame, group: str, size: str, block: int) -> DataFra
     return cut.withColumn(group, F.xxhash64(group, "_pair")).drop("_pair", size)
 
 
+def _sent(keys: DataFrame) -> DataFrame:
+    """Keys of a few numbers each, to be broadcast where their size allows."""
+    return F.broadcast(keys) if keys.count() <= SENT_IDS else keys
+
+
 def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row of ``docs``.
 
@@ -294,6 +299,7 @@ def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     crowded = common.stored(
         banded.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     )
+    crowded = _sent(crowded)
     # Only the keys of crowded buckets meet the signatures.
     members = banded.join(crowded, "bucket").join(is_rep.select("doc_id", "bits"), "doc_id")
     grouped = _in_blocks(members, "bucket", "size", BUCKET_BLOCK)
