@@ -14,11 +14,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinelane.llm import common, tokens
-from kinelane.sources.files import new_table_path
+from kinelane.sources.files import new_table_path, remove
 
 #: Bits of the longest code, ids between two checkpoints, bytes of codes in a segment.
 MAX_BITS, BLOCK, SEGMENT_BYTES = 18, 256, 1 << 20
@@ -212,37 +213,43 @@ def _encoded(tokenised: DataFrame, lengths: np.ndarray) -> DataFrame:
     )
 
 
-_SEGMENT = "doc_ids array<long>, n_tokens array<long>, n_bytes array<long>, checkpoints array<long>, payload binary"
+_SEGMENT = "part int, before long, total long, doc_ids array<long>, n_tokens array<long>, n_bytes array<long>, checkpoints array<long>, payload binary"
 
 
 def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents in order gathered into segments."""
+    """Documents in order gathered into segments, each with the ids before it in its part."""
+    number, before = TaskContext.get().partitionId(), 0
     for batch in batches:
         _raw, offsets = common.utf8(batch.column("payload"))
         for first, last in common.slices(offsets, SEGMENT_BYTES):
             part = batch.slice(first, last - first)
             payload = part.column("payload").to_pylist()
+            total = sum(part.column("n_tokens").to_pylist())
             yield pa.record_batch(
                 [
+                    pa.array([number], pa.int32()), pa.array([before]), pa.array([total]),
                     pa.array([part.column("doc_id").to_pylist()], pa.list_(pa.int64())),
                     pa.array([part.column("n_tokens").to_pylist()], pa.list_(pa.int64())),
                     pa.array([[len(p) for p in payload]], pa.list_(pa.int64())),
                     pa.array([part.column("checkpoints").flatten()], pa.list_(pa.int64())),
                     pa.array([b"".join(payload)], pa.binary()),
                 ],
-                ["doc_ids", "n_tokens", "n_bytes", "checkpoints", "payload"],
+                ["part", "before", "total", "doc_ids", "n_tokens", "n_bytes", "checkpoints", "payload"],
             )
+            before += total
 
 
 def write(docs: DataFrame, path: str, folder: str, end_id: int = 2) -> None:
     """Write ``folder``/codes and ``folder``/segments.
 
     Each text (null: empty) ends with ``end_id``. Documents are in ascending doc_id
-    order over the files, those without doc_id first; repeated rows are all written.
-    An empty table gives tables without rows.
+    order over the files, those without doc_id first; repeated rows are all written, and
+    rows of one doc_id may lie in several parts. An empty table gives tables without rows.
     """
     spark = docs.sparkSession
-    tokenised = common.stored(_tokenised(docs, path, end_id))
+    place = new_table_path(spark)
+    _tokenised(docs, path, end_id).write.parquet(place)
+    tokenised = spark.read.parquet(place)
     counted = id_counts(tokenised).collect()
     counts = np.zeros(max((r["id"] for r in counted), default=0) + 1, np.int64)
     for row in counted:
@@ -252,21 +259,39 @@ def write(docs: DataFrame, path: str, folder: str, end_id: int = 2) -> None:
     spark.createDataFrame(
         list(zip(used.tolist(), lengths[used].tolist())), "id long, bits int"
     ).coalesce(1).write.parquet(f"{folder}/codes")
-    ordered = _encoded(tokenised, lengths).repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    # Coded once: dealing rows by range looks at their order twice. Rows of one id are told
+    # apart by where they were written, so that one id may have more rows than a task.
+    coded = common.stored(
+        _encoded(tokenised, lengths).withColumn("row", F.monotonically_increasing_id())
+    )
+    remove(spark, place)
+    ordered = coded.repartitionByRange("doc_id", "row").sortWithinPartitions("doc_id", "row")
     (
-        ordered.mapInArrow(_segments, _SEGMENT)
+        ordered.drop("row").mapInArrow(_segments, _SEGMENT)
         .write.option("compression", "none").parquet(f"{folder}/segments")
     )
 
 
+def _part_starts(spark: SparkSession, folder: str) -> dict[int, int]:
+    """Ids in all parts before each part, one sum for each part of the files."""
+    segments = spark.read.schema(_SEGMENT).parquet(f"{folder}/segments")
+    sums = segments.groupBy("part").agg(F.sum("total").alias("n")).collect()
+    starts, total = {}, 0
+    for row in sorted(sums, key=lambda r: r["part"]):
+        starts[row["part"]] = total
+        total += row["n"]
+    return starts
+
+
 def _decoded(
     spark: SparkSession, folder: str, column: str, kind: str, made: Callable[[np.ndarray], object]
 ) -> DataFrame:
-    """doc_id, n_tokens and what is made of each document's ids, from the files."""
+    """doc_id, start, n_tokens and what is made of each document's ids, from the files."""
     codes = spark.read.parquet(f"{folder}/codes").collect()
     lengths = np.zeros(max((r["id"] for r in codes), default=0) + 1, np.uint8)
     for row in codes:
         lengths[row["id"]] = row["bits"]
+    starts = _part_starts(spark, folder)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens.forget()
@@ -284,50 +309,30 @@ def _decoded(
                 ids = decode(data, bit, size, symbols, sizes).astype("<u4")
                 ends = np.cumsum(n_tokens)
                 out = [made(ids[b - n : b]) for b, n in zip(ends.tolist(), n_tokens.tolist())]
+                begin = starts[batch.column("part")[row].as_py()] + batch.column("before")[row].as_py()
                 yield pa.record_batch(
-                    [batch.column("doc_ids")[row].values, pa.array(n_tokens), pa.array(out)],
-                    ["doc_id", "n_tokens", column],
+                    [batch.column("doc_ids")[row].values, pa.array(begin + ends - n_tokens),
+                     pa.array(n_tokens), pa.array(out)],
+                    ["doc_id", "start", "n_tokens", column],
                 )
 
     # One segment at a time: it becomes several times its size.
-    return spark.read.parquet(f"{folder}/segments").mapInArrow(
-        work, f"doc_id long, n_tokens long, {column} {kind}"
+    return spark.read.schema(_SEGMENT).parquet(f"{folder}/segments").mapInArrow(
+        work, f"doc_id long, start long, n_tokens long, {column} {kind}"
     )
 
 
 def read(spark: SparkSession, folder: str) -> DataFrame:
-    """doc_id, n_tokens and ids (little-endian 32 bits) from the files."""
+    """doc_id, start, n_tokens and ids (little-endian 32 bits) from the files."""
     return _decoded(spark, folder, "ids", "binary", lambda ids: ids.tobytes())
 
 
 def digests(spark: SparkSession, folder: str) -> DataFrame:
-    """doc_id, start, n_tokens, ids_crc32 of each document, from the files."""
-    rows = _decoded(spark, folder, "ids_crc32", "long", lambda ids: zlib.crc32(ids))
-    # Written out, as dealing rows by range looks at them twice.
-    return with_starts(common.stored(rows))
-
-
-def with_starts(rows: DataFrame) -> DataFrame:
-    """Add the sum of ``n_tokens`` over all rows before, in doc_id order.
+    """doc_id, start, n_tokens, ids_crc32 of each document, from the files.
 
-    Rows are dealt by range; only one sum for each range meets in one place.
+    ``start`` is the place in the files: the ids of all documents before it.
     """
-    dealt = common.stored(
-        rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "ids_crc32")
-        .withColumn("part", F.spark_partition_id())
-    )
-    sums = dealt.groupBy("part").agg(F.sum("n_tokens").alias("n"))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    bases = common.stored(
-        sums.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    )
-    within = Window.partitionBy("part").orderBy("doc_id", "ids_crc32").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    placed = dealt.withColumn("own", F.coalesce(F.sum("n_tokens").over(within), F.lit(0)))
-    return placed.join(bases, "part").select(
-        "doc_id", (F.col("base") + F.col("own")).alias("start"), "n_tokens", "ids_crc32"
-    )
+    return _decoded(spark, folder, "ids_crc32", "long", lambda ids: zlib.crc32(ids))
 
 
 def round_trip(docs: DataFrame, path: str, end_id: int = 2) -> DataFrame:
