@@ -273,20 +273,27 @@ def _first_of_copies(sketches: list[bytes | None]) -> np.ndarray:
     without a sketch is a copy of nothing.
     """
     minima = np.zeros((len(sketches), _SKETCH), np.uint32)
+    known = np.array([sketch is not None for sketch in sketches], bool)
+    for row in np.flatnonzero(known):
+        minima[row] = np.frombuffer(sketches[row], np.uint32)
+    bands = minima.reshape(len(sketches), _SKETCH // _BAND, _BAND).astype(np.uint64)
+    keys = common.mixed(
+        (bands * common.FACTORS[:_BAND]).sum(axis=2, dtype=np.uint64)
+        + np.arange(_SKETCH // _BAND, dtype=np.uint64)
+    )
+    # Only keys that come more than once are held.
+    _, inverse, counts = np.unique(keys, return_inverse=True, return_counts=True)
+    shared = (counts[inverse.reshape(keys.shape)] > 1) & known[:, None]
     keep = np.ones(len(sketches), bool)
-    held: dict[tuple[int, bytes], list[int]] = {}
-    for row, sketch in enumerate(sketches):
-        if sketch is None:
-            continue
-        minima[row] = np.frombuffer(sketch, np.uint32)
-        size = 4 * _BAND
-        bands = [(k, bytes(sketch[k : k + size])) for k in range(0, 4 * _SKETCH, size)]
-        near = list({other for band in bands for other in held.get(band, ())})
+    held: dict[int, list[int]] = {}
+    for row in np.flatnonzero(shared.any(axis=1)):
+        own = keys[row, shared[row]].tolist()
+        near = list({other for key in own for other in held.get(key, ())})
         if near and ((minima[near] == minima[row]).mean(axis=1) >= COPY).any():
             keep[row] = False
             continue
-        for band in bands:
-            held.setdefault(band, []).append(row)
+        for key in own:
+            held.setdefault(key, []).append(int(row))
     return keep
 
 
@@ -297,7 +304,7 @@ def train(
     drawn = common.stored(_drawn(docs, labels, categories, limit))
     base = _sketched(drawn, categories).toPandas()
     base = base.sort_values(["doc_id", "row"]).drop_duplicates("doc_id").reset_index(drop=True)
-    base = base[_first_of_copies(base["sketch"].tolist())].reset_index(drop=True)
+    base = base[_first_of_copies(base["sketch"].tolist())].drop(columns="sketch").reset_index(drop=True)
     kept = _kept_rows(drawn, base["row"].to_numpy(np.int64))
     tallied = common.stored(_tallied(kept, categories))
     counts = np.array(base["counts"].tolist()).reshape(len(base), 4)
@@ -320,6 +327,7 @@ def train(
             out = fold == k
             unseen[out] = _sigmoid(x[out] @ fit(x[~out], y[~out]))
         earlier.append(unseen)
+    common.give_back()
     return links
 
 
