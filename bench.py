@@ -27,6 +27,8 @@ from kinelane.schema import Params  # noqa: E402
 from kinelane.sources.events import START, load_events, plain, readings  # noqa: E402
 from kinelane.sources.history import append_history, read_history  # noqa: E402
 from kinelane.sources.results import write_result  # noqa: E402
+from kinelane.streaming import ledger  # noqa: E402
+from kinelane.streaming.refresh import refresh_ledger  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -113,6 +115,7 @@ def main() -> None:
     append_history(rows, f"{scratch}/history")
     month = F.lit(float(START)) + (F.col("time") - START) * 600
     append_history(rows.withColumn("time", month), f"{scratch}/month")
+    ledger.append_readings(rows.withColumn("time", month), f"{scratch}/ledger", 0)
     runs = iter(range(1000))
 
     def separate() -> None:
@@ -131,6 +134,7 @@ def main() -> None:
         "open_days": lambda: shared(open_days, "history", "open"),
         "shared_month": lambda: shared(whole_history, "month", "shared_month"),
         "open_days_month_steady": lambda: shared(open_days, "month", "open_month"),
+        "ledger_month_steady": lambda: refresh_ledger(spark, f"{scratch}/ledger", f"{scratch}/chain_month"),
     }
     for action in refreshes.values():
         action()
