@@ -11,13 +11,14 @@ from __future__ import annotations
 
 import re._constants as sre
 import re._parser as sre_parser
+from collections.abc import Callable
 from itertools import product
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinelane.llm.common import text_or_empty
+from kinelane.llm.common import stored, text_or_empty
 
 
 class Rule(NamedTuple):
@@ -48,6 +49,8 @@ RULES = BASE_RULES + MORE_RULES
 #: Marks the borders of matches; where a text holds it, the next code point stands in.
 _MARK, _STAND_IN = "\ufdd0", "\ufdd1"
 _REDACTED = "[SECRET]"
+#: Code points of the chunks of a text from which the kept parts are taken.
+_CHUNK = 1024
 #: Literal alternatives followed at once while a query is derived.
 _ALTERNATIVES = 64
 
@@ -182,26 +185,42 @@ def candidates(docs: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     return whole.groupBy("doc_id", "print").agg(F.collect_set("kind").alias("kinds"))
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """What ``use`` makes of a value that is worked out once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _running(values: Column, join: Callable[[Column, Column], Column]) -> Column:
+    """Each value joined with all before it, in as many passes as their number has digits."""
+    def joined(own: Column) -> Column:
+        digits = F.ceil(F.log2(F.greatest(F.size(own), F.lit(1)))).cast("int")
+        shifts = F.transform(F.sequence(F.lit(0), digits), lambda d: F.pow(F.lit(2), d).cast("int"))
+        return F.aggregate(shifts, own, lambda so_far, shift: F.transform(
+            so_far, lambda x, i: F.when(i >= shift, join(x, F.get(so_far, i - shift))).otherwise(x)
+        ))
+
+    return _bound(values, joined)
+
+
 def _found(text: Column, rule: Rule, order: int) -> Column:
     """Spans of a rule's matches as structs (first, kind, last), in code points."""
     cut = F.split(F.regexp_replace(text, f"({rule.pattern})", f"{_MARK}$1{_MARK}"), _MARK, -1)
     empty = F.expr("cast(array() as array<struct<first:int,kind:int,last:int>>)")
-    start = F.struct(F.lit(0).alias("at"), F.lit(False).alias("inside"), empty.alias("spans"))
-    match = F.regexp_extract if rule.group else None
-
-    def step(so_far: Column, part: Column) -> Column:
-        end = so_far["at"] + F.length(part)
-        own = match(part, rule.pattern, rule.group) if match else part
-        span = F.struct(
-            so_far["at"].alias("first"), F.lit(order).alias("kind"), end.alias("last")
-        )
-        good = so_far["inside"] & (F.length(own) >= rule.least)
-        return F.struct(
-            end.alias("at"), (~so_far["inside"]).alias("inside"),
-            F.when(good, F.concat(so_far["spans"], F.array(span))).otherwise(so_far["spans"]).alias("spans"),
-        )
 
-    return F.when(text.rlike(rule.pattern), F.aggregate(cut, start, step, lambda s: s["spans"])).otherwise(empty)
+    def spans(parts: Column) -> Column:
+        def of(ends: Column) -> Column:
+            def span(part: Column, i: Column) -> Column:
+                own = F.regexp_extract(part, rule.pattern, rule.group) if rule.group else part
+                good = (i % 2 == 1) & (F.length(own) >= rule.least)
+                return F.when(good, F.struct(
+                    F.get(ends, i - 1).alias("first"), F.lit(order).alias("kind"), F.get(ends, i).alias("last")
+                ))
+
+            return F.array_compact(F.transform(parts, span))
+
+        return _bound(_running(F.transform(parts, F.length), lambda x, y: x + y), of)
+
+    return F.when(text.rlike(rule.pattern), _bound(cut, spans)).otherwise(empty)
 
 
 def _listed(spans: Column, rules: tuple[Rule, ...]) -> Column:
@@ -225,7 +244,8 @@ def with_spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     marked = docs.select(
         F.struct(*docs.columns).alias("_row"), "doc_id", text_or_empty().alias("_text")
     ).withColumn("print", F.xxhash64("_text"))
-    hits = candidates(marked, rules)
+    # Written first, so that Spark sees its size: few candidates go to the texts, not texts to them.
+    hits = stored(candidates(marked, rules))
     same = F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("d.print") == F.col("c.print"))
     joined = marked.alias("d").join(hits.alias("c"), same, "left").select("d.*", "c.kinds")
     clear = F.when(
@@ -271,23 +291,33 @@ def redacted(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """
     spans = with_spans(docs, rules)
     old = F.col("_row.text")
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
-    def step(so_far: Column, span: Column) -> Column:
-        between = F.substr(old, so_far["at"] + 1, span["first"] - so_far["at"])
-        fresh = span["first"] >= so_far["at"]
-        marked = F.concat(so_far["out"], between, F.lit(_REDACTED))
-        # A span that begins inside the last one only moves its end.
+    def between(chunks: Column, first: Column, last: Column) -> Column:
+        def part(c: Column) -> Column:
+            skipped = F.greatest(first - c * _CHUNK, F.lit(0))
+            return F.substr(F.get(chunks, c), skipped + 1, F.least(last - c * _CHUNK, F.lit(_CHUNK)) - skipped)
+
+        touched = F.sequence(*(F.floor(at / _CHUNK).cast("int") for at in (first, last - 1)))
+        return F.when(last > first, F.array_join(F.transform(touched, part), "")).otherwise(F.lit(""))
+
+    def marked(both: Column) -> Column:
+        # A span that begins inside an earlier one only moves its end.
+        def piece(span: Column, i: Column) -> Column:
+            so_far = F.when(i > 0, F.get(both["reach"], i - 1)).otherwise(F.lit(0))
+            kept = F.concat(between(both["chunks"], so_far, span["first"]), F.lit(_REDACTED))
+            return F.when(span["first"] >= so_far, kept).otherwise(F.lit(""))
+
+        pieces = F.array_join(F.transform(both["spans"], piece), "")
+        return F.concat(pieces, between(both["chunks"], F.array_max(both["reach"]), F.length(old)))
+
+    def with_reach(ordered: Column) -> Column:
         return F.struct(
-            F.greatest(so_far["at"], span["last"]).alias("at"),
-            F.when(fresh, marked).otherwise(so_far["out"]).alias("out"),
+            ordered.alias("spans"), _running(F.transform(ordered, lambda s: s["last"]), F.greatest).alias("reach"),
+            F.regexp_extract_all(old, F.lit(f"(?s).{{1,{_CHUNK}}}"), F.lit(0)).alias("chunks"),
         )
 
-    def rest(so_far: Column) -> Column:
-        return F.concat(so_far["out"], F.substr(old, so_far["at"] + 1, F.length(old)))
-
     changed = F.size("_spans") > 0
-    text = F.when(changed, F.aggregate(F.array_sort("_spans"), start, step, rest)).otherwise(old)
+    text = F.when(changed, _bound(_bound(F.array_sort("_spans"), with_reach), marked)).otherwise(old)
     out = spans.select("_row", text.alias("_new"), changed.alias("_changed"))
     columns = {c: F.col(f"_row.`{c}`") for c in docs.columns} | {"text": F.col("_new")}
     if "n_chars" in docs.columns:

@@ -2,6 +2,7 @@
 
 import hashlib
 import os
+import time
 import zlib
 from collections import defaultdict
 
@@ -131,6 +132,29 @@ def test_secrets_in_odd_places(spark):
     assert all(not base_spans(t) for t in clean.values())
 
 
+def test_many_secrets_in_one_text(spark):
+    """A text of 100,000 matches, kinds that overlap, and chunk borders within and between."""
+    key = "0123456789abcdef" * 2
+    texts = [
+        "password=abcdefg é🙂 " * 100_000, f"token={key}{'z' * 7} " * 3000,
+        *("漢" * n + f"secret={key}\n" + "é" * (2048 - n) + key for n in (1000, 1010, 1023, 1024, 2047)),
+        "\n" * 5000 + key, key + "x" * 1024,
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    began = time.monotonic()
+    got = {r.doc_id: r.spans.split(",") for r in secret_scan.scan(df).collect()}
+    clean = {r.doc_id: r.text for r in secret_scan.redacted(df).collect()}
+    assert time.monotonic() - began < 120
+    for number, text in enumerate(texts):
+        assert got[number] == base_spans(text)
+        out, at = [], 0
+        for _, first, last in (s.split(":") for s in got[number]):
+            if int(first) >= at:
+                out += [text[at:int(first)], "[SECRET]"]
+            at = max(at, int(last))
+        assert clean[number] == "".join(out) + text[at:]
+
+
 def test_redaction_keeps_rows_and_columns(odd_docs):
     out = secret_scan.redacted(odd_docs)
     assert out.columns == odd_docs.columns and out.schema == odd_docs.schema
