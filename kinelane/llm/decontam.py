@@ -177,13 +177,18 @@ def _signed(values: np.ndarray) -> np.ndarray:
 def item_windows(benchmark: DataFrame) -> DataFrame:
     """item_id, at, hash, item_slots, how, size for each window of each item.
 
-    An item with fewer than ``WINDOW`` words is one window of its own length.
+    An item with fewer than ``WINDOW`` words is one window of its own length. A slot is
+    named by the first place of its value in the item, so items that differ in values
+    alone have equal windows.
     """
     def cut(batch: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray) -> pa.RecordBatch:
         t = template(data, offsets)
         per_row = np.bincount(t.row, minlength=len(offsets) - 1)
         first = np.cumsum(per_row) - per_row
         out: list[tuple] = []
+        pairs = np.stack([t.row.astype(np.uint64), t.own])
+        _, earliest, which = np.unique(pairs, axis=1, return_index=True, return_inverse=True)
+        named = t._replace(own=(earliest[which.reshape(-1)] - first[t.row]).astype(np.uint64))
 
         def add(how: int, size: int, chosen: np.ndarray) -> np.ndarray:
             at, hashes = _windows(t, how, size)
@@ -192,7 +197,7 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
             rows = t.row[at]
             out.extend(zip(
                 rows.tolist(), (at - first[rows]).tolist(), _signed(hashes).tolist(),
-                _slots(t, how, at, size), [how] * len(at), [size] * len(at),
+                _slots(named, how, at, size), [how] * len(at), [size] * len(at),
             ))
             return np.isin(np.arange(len(per_row)), rows)
 
@@ -265,18 +270,53 @@ def _print() -> Column:
     return F.xxhash64(common.text_or_empty()).alias("print")
 
 
+def _forms(items: DataFrame) -> DataFrame:
+    """Of each item: its numbers of windows, and digests of those that ask for no values and of all."""
+    plain, free = F.col("how") == PLAIN, F.col("how").isin(PLAIN, WHOLE)
+    prints = [F.xxhash64(F.lit(seed), "at", "hash", "item_slots", "how", "size") for seed in (1, 2)]
+    return items.groupBy("item_id").agg(
+        F.count_distinct("at").alias("n_windows"),
+        F.count_distinct(F.when(plain, F.col("at"))).alias("n_plain"),
+        F.max(free).alias("has_free"), F.max(~free).alias("has_bound"),
+        F.struct(*(F.bit_xor(F.when(free, p)) for p in prints)).alias("free_form"),
+        F.struct(*(F.bit_xor(p) for p in prints)).alias("form"),
+    )
+
+
+def _first_of(forms: DataFrame, form: str) -> DataFrame:
+    """item_id (the smallest), n_windows, n_plain of each set of items of one form."""
+    alike = forms.groupBy(form, "n_windows", "n_plain").agg(F.min("item_id").alias("item_id"))
+    return alike.select("item_id", "n_windows", "n_plain")
+
+
+def item_classes(benchmark: DataFrame) -> DataFrame:
+    """item_id, class_id: the smallest id of the items that no other values could tell apart.
+
+    Items of one class have the same template, and equal values in the same places; a copy
+    with values of its own is a copy of all of them. Items that are found with equal values
+    alone are in one class if they are equal. Items that match nothing are left out.
+    """
+    forms = common.stored(_forms(common.stored(item_windows(benchmark).distinct())))
+    form = F.when(F.col("has_free"), F.col("free_form")).otherwise(F.col("form"))
+    forms = forms.select("item_id", "has_free", form.alias("form"), "n_windows", "n_plain")
+    key = ["has_free", "form", "n_windows", "n_plain"]
+    first = forms.groupBy(*key).agg(F.min("item_id").alias("class_id"))
+    return forms.join(first, key).select("item_id", "class_id")
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
     """doc_id, print (of the text), item_id, n_found for each contaminating item.
 
+    Items of one template count as one, named by the smallest id (see ``item_classes``):
+    windows are met once for each class, not once for each of its items. An item some of
+    whose windows need equal values is looked for by all its windows too, in the documents
+    that hold one of those, and then stands for itself and for equal items.
+
     The benchmark's hashes go to the tasks in passes of a stated size, so neither
     table has to be small.
     """
-    items = common.stored(item_windows(benchmark))
+    items = common.stored(item_windows(benchmark).distinct())
     plain, whole = F.col("how") == PLAIN, F.col("how") >= WHOLE
-    totals = items.groupBy("item_id").agg(
-        F.count_distinct("at").alias("n_windows"),
-        F.count_distinct(F.when(plain, F.col("at"))).alias("n_plain"),
-    )
     forms = [(r["how"], r["size"]) for r in items.select("how", "size").distinct().collect()]
     hashes = items.select("hash").distinct()
     passes = max(1, -(-hashes.count() // PASS_WINDOWS))
@@ -286,8 +326,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) ->
         wanted = own.toPandas()["hash"].to_numpy(np.int64)
         part = _found(docs, wanted, forms).distinct()
         found = part if found is None else found.union(part)
-    key = ["doc_id", "print", "item_id"]
-    met = common.stored(_occurrences(found.join(items, "hash").join(totals, "item_id"), key))
+    key = ["doc_id", "print", "item_id", "bound"]
+    met = common.stored(_occurrences(_met(common.stored(found), items), key))
     key.append("occurrence")
     same = lambda a, b: F.col(f"{a}.doc_id").eqNullSafe(F.col(f"{b}.doc_id")) & reduce(
         Column.__and__, [F.col(f"{a}.{c}") == F.col(f"{b}.{c}") for c in key[1:]]
@@ -321,6 +361,22 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) ->
     )
 
 
+def _met(found: DataFrame, items: DataFrame) -> DataFrame:
+    """Windows met by classes of items, and (``bound``) by items that need equal values somewhere."""
+    forms = common.stored(_forms(items))
+    free = F.col("how").isin(PLAIN, WHOLE)
+    by_class = items.where(free).join(_first_of(forms.where("has_free"), "free_form"), "item_id")
+    by_item = items.join(_first_of(forms.where("has_bound"), "form"), "item_id")
+    pairs = found.join(by_item.where(~free), "hash").select("doc_id", "print", "item_id").distinct()
+    asked = pairs.join(by_item, "item_id")
+    same = F.col("a.doc_id").eqNullSafe(F.col("f.doc_id"))
+    for column in ("print", "hash"):
+        same &= F.col(f"a.{column}") == F.col(f"f.{column}")
+    again = asked.alias("a").join(found.alias("f"), same).select("a.*", "f.doc_at", "f.doc_slots")
+    classes = found.join(by_class, "hash").withColumn("bound", F.lit(False))
+    return classes.unionByName(again.withColumn("bound", F.lit(True)))
+
+
 def _occurrences(met: DataFrame, key: list[str]) -> DataFrame:
     """Each met window once for each occurrence that it is part of."""
     shift = F.col("doc_at") - F.col("at")
@@ -337,6 +393,7 @@ def _occurrences(met: DataFrame, key: list[str]) -> DataFrame:
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, n_items, item_ids (ascending), contaminated for each row of ``docs``.
 
+    Of items that differ in values alone, the smallest id is listed (``item_classes``).
     Null or empty texts hold no window and are clean; repeated rows are judged alike,
     as are rows without doc_id. Items without id or with fewer than ``LEAST_SENTENCE``
     words match nothing. Extra columns are ignored; an empty table gives no rows.

@@ -139,6 +139,36 @@ def test_items_of_few_plain_words(spark):
     }
 
 
+def test_items_of_one_template_are_one_class(spark):
+    """5,000 items of one template meet a document once; their classes tell who they are."""
+    def version(a, b, c):
+        return f"How many km does {a} drive if {a} first drives {b} km north and then {c} km back to the town"
+
+    family = [(100 + k, version("Hugo", k, k + 1 + k % 2)) for k in range(5000)]
+    same_value = [(7000, version("Hugo", 5, 5)), (6999, version("Emma", 8, 8))]
+    sums = [(8000 + k, f"What is {k} + {k + 1} * 4 - 7 / 2?") for k in range(3000)]
+    items = spark.createDataFrame(family + same_value + sums, "item_id long, text string")
+    docs = [(k, version("Nora", 10 + k, 70 + k)) for k in range(20)] + [
+        (30, version("Nora", 6, 6)), (40, "What is 9 + 3 * 6 - 2 / 8?"), (41, "What is 8 + 9 * 4 - 7 / 2?"),
+        (50, "nothing of the kind is here, but for the 3 km to the town"),
+    ]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: r.item_ids for r in decontam.contamination(df, items).collect()}
+    # Most windows hold one of the two distances, so either template is found by half of them.
+    assert all(got[k] in ([100], [100, 6999]) for k in range(20))
+    assert got[30] == [100, 6999] and got[50] == []
+    classes = {r.item_id: r.class_id for r in decontam.item_classes(items).collect()}
+    assert {classes[i] for i, _ in family} == {100} and classes[7000] == classes[6999] == 6999
+    assert {classes[i] for i in got[40]} == {8000} and 8008 in got[41]
+    found = decontam._found(df, decontam_hashes(items), [(0, 8), (1, 8), (2, 9)])
+    wide = decontam._met(common.stored(found), common.stored(decontam.item_windows(items).distinct()))
+    assert wide.count() < 100 * len(docs)
+
+
+def decontam_hashes(items):
+    return decontam.item_windows(items).select("hash").distinct().toPandas()["hash"].to_numpy("int64")
+
+
 def test_passes_over_a_large_benchmark(spark, monkeypatch):
     monkeypatch.setattr(decontam, "PASS_WINDOWS", 5)
     df = spark.createDataFrame([(1, ITEM), (2, "other")], "doc_id long, text string")
