@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinelane.schema import FIELDS, SENSOR
@@ -12,21 +12,24 @@ from kinelane.schema import FIELDS, SENSOR
 MIN_TIME, MAX_TIME = 0.0, 253_402_300_799.0
 MAX_PLACE = 1_000_000_000
 
-DECIMAL = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+#: What a decimal number never holds; Java also reads "1.5d", "NaN" or "0x1p3" as one.
+NO_DECIMAL = "[^0-9eE.+ \t\n\x0b\f\r-]"
 
 
-def wire_time(time: Column) -> Column:
-    """Epoch seconds in plain decimal digits (a double prints as 1.68E9 in Spark)."""
-    digits = time.try_cast("decimal(38,17)").cast("string")
-    return F.regexp_replace(digits, r"(\.\d+?)0+$", "$1")
+def wire_time(time: str) -> str:
+    """Epoch seconds in plain decimal digits (a double prints as 1.68E9 in Spark), as SQL."""
+    digits = f"cast(try_cast({time} as decimal(38,17)) as string)"
+    bare = f"trim(trailing '0' from {digits})"
+    return f"if(endswith({bare}, '.'), concat({bare}, '0'), {bare})"
 
 
 def encode(df: DataFrame) -> DataFrame:
     """Readings -> payload lines in a ``value`` column."""
-    parts = [wire_time(F.col(c)) if c == "time" else F.col(c).cast("string") for c in FIELDS]
     # A missing value leaves its field empty, so that the others keep their places.
-    parts = [F.coalesce(part, F.lit("")) for part in parts]
-    return df.select(F.concat(F.concat_ws(",", *parts), F.lit("\n")).alias("value"))
+    parts = [
+        f"coalesce({wire_time(c) if c == 'time' else f'cast({c} as string)'}, '')" for c in FIELDS
+    ]
+    return df.selectExpr(f"concat(concat_ws(',', {', '.join(parts)}), '\n') as value")
 
 
 def decode(df: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -36,40 +39,34 @@ def decode(df: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> D
     no UTF-8 are kept with replacement characters. Whatever a line holds, it gets a
     reason and raises nothing.
     """
-    raw = F.col(value).cast("string")
-    text = F.regexp_replace(F.make_valid_utf8(raw), r"\r?\n\z", "")
-    parts = [
-        F.get("_parts", F.lit(i)).try_cast(f.dataType).alias(f.name)
-        for i, f in enumerate(SENSOR.fields)
-    ]
-    # Java also reads "1.5d" as a number; the wire format does not.
-    number = F.get("_parts", F.lit(FIELDS.index("time"))).rlike(DECIMAL)
-    fields = F.struct(*parts, F.size("_parts").alias("_size"), number.alias("_number"))
-    missing = F.lit(False)
-    for c in FIELDS:
-        missing = missing | F.col(c).isNull()
-    time, x = F.col("time"), F.col("x")
+    raw = f"cast(`{value}` as string)"
+    parts = [f"'{f.name}', try_cast(get(_parts, {i}) as {f.dataType.simpleString()})"
+             for i, f in enumerate(SENSOR.fields)]
+    number = f"not rlike(get(_parts, {FIELDS.index('time')}), '{NO_DECIMAL}')"
+    fields = f"named_struct({', '.join(parts)}, '_size', size(_parts), '_number', {number})"
+    missing = " or ".join(f"{c} is null" for c in FIELDS)
     possible = (
-        time.between(MIN_TIME, MAX_TIME) & x.between(-MAX_PLACE, MAX_PLACE)
-        & (F.col("road_size") >= 0) & (F.col("road_speed") >= 0)
-        & F.col("direction").isin(1, -1) & (F.trim("road") != "") & (F.trim("plate") != "")
+        f"time between {MIN_TIME!r}D and {MAX_TIME!r}D and x between -{MAX_PLACE} and {MAX_PLACE} "
+        "and road_size >= 0 and road_speed >= 0 and direction in (1, -1) "
+        "and trim(road) != '' and trim(plate) != ''"
     )
     reason = (
-        F.when(~F.col("_valid"), "bad_text")
-        .when(F.trim("payload") == "", "blank")
-        .when(F.col("_size") < len(FIELDS), "short")
-        .when(missing | ~F.col("_number"), "bad_field")
-        .when(~possible, "out_of_range")
+        "case when not _valid then 'bad_text' when trim(payload) = '' then 'blank' "
+        f"when _size < {len(FIELDS)} then 'short' when {missing} or not _number then 'bad_field' "
+        f"when not ({possible}) then 'out_of_range' end as reason"
+    )
+    bare = (
+        "case when endswith(_text, '\r\n') then left(_text, length(_text) - 2) "
+        "when endswith(_text, '\n') then left(_text, length(_text) - 1) else _text end as payload"
     )
     # A filter on the reason cannot move below the generator, where it would parse
     # each line once per field.
     return (
-        df.select(
-            *keep, F.is_valid_utf8(raw).alias("_valid"), text.alias("payload"),
-            F.split(text, ",", -1).alias("_parts"),
-        )
-        .select(*keep, "_valid", "payload", F.inline(F.array(fields)))
-        .select(*keep, *FIELDS, "payload", reason.alias("reason"))
+        df.selectExpr(*keep, f"is_valid_utf8({raw}) as _valid", f"make_valid_utf8({raw}) as _text")
+        .selectExpr(*keep, "_valid", bare)
+        .selectExpr(*keep, "_valid", "payload", "split(payload, ',', -1) as _parts")
+        .selectExpr(*keep, "_valid", "payload", f"inline(array({fields}))")
+        .selectExpr(*keep, *FIELDS, "payload", reason)
     )
 
 

@@ -14,7 +14,7 @@ from kinelane.operators.kinematics import numbered, with_kinematics
 from kinelane.operators.ordered import own, pinned
 from kinelane.plans import carried, closed_days, day_chain
 from kinelane.schema import FIELDS, Params, with_event_date
-from kinelane.sources.events import START, events_after, load_events, plain, readings
+from kinelane.sources.events import START, events_after, extent, load_events, plain, readings
 from kinelane.sources.files import new_table_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,8 +48,7 @@ class Source(NamedTuple):
 
 def _measured(spark: SparkSession, sf_dir: str) -> Source:
     events = load_events(spark, sf_dir)
-    whole = readings(events, clustered=False)
-    return Source(events, *whole.agg(F.count(F.lit(1)), F.max("time")).first())
+    return Source(events, *extent(events))
 
 
 def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,6 +27,8 @@ from kinelane.schema import READING
 EPOCH = "timestamp_ntz'2024-01-01 00:00:00'"
 START = 1_685_000_000
 ROADS = 8
+#: Time is compressed so many times, so this many microseconds become one millisecond.
+MICROS_OF_MS = 600_000
 
 EVENTS = (
     "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
@@ -62,20 +64,17 @@ def readings(
     ``at_most`` bounds the number of events, if the caller knows it.
     """
     # Microseconds since the epoch above, independent of the session zone.
-    seconds = F.expr(f"cast(cast(ts - {EPOCH} as interval second) as decimal(20,6))")
-    micros = (seconds * 1_000_000).cast("bigint")
-    moves = F.floor(F.col("value") * 2).cast("int")
-    base = events.select(
-        F.col("event_id").alias("_id"),
+    micros = f"cast(cast(cast(ts - {EPOCH} as interval second) as decimal(20,6)) * 1000000 as bigint)"
+    # Stated as text: each call that builds a column costs the driver several round trips.
+    base = events.selectExpr(
+        "event_id as _id",
         "user_id",
-        F.expr(
-            "concat(chr(65 + (user_id div 1000) % 26), 'A', lpad(user_id % 1000, 3, '0'))"
-        ).alias("plate"),
-        micros.alias("_us"),
-        F.regexp_extract("props", "([0-9]+)", 1).cast("int").alias("_k"),
-        F.when(F.col("user_id") % 2 == 0, 1).otherwise(-1).alias("direction"),
-        F.when(F.col("event_type") == "error", 0).otherwise(moves).alias("_step"),
-    ).withColumn("_ms", F.expr("_us div 600000"))
+        "concat(chr(65 + (user_id div 1000) % 26), 'A', lpad(user_id % 1000, 3, '0')) as plate",
+        "cast(regexp_extract(props, '([0-9]+)', 1) as int) as _k",
+        "if(user_id % 2 = 0, 1, -1) as direction",
+        "if(event_type <=> 'error', 0, cast(floor(value * 2) as int)) as _step",
+        f"{micros} div {MICROS_OF_MS} as _ms",
+    )
 
     vehicle, in_time = ["plate", "user_id"], ["_ms", "_id"]
     if clustered:
@@ -86,23 +85,31 @@ def readings(
     layout = ["plate"] if clustered else []
     base = running_total(base, vehicle, in_time, F.col("_step"), "_dist", layout)
 
-    road_id = F.expr(
-        f"cast((user_id * 7 + _ms div (600000 * (1 + user_id % 5))) % {ROADS} as int)"
-    )
-    derived = base.withColumns({"_road": road_id, "road_size": 50_000 + 2_500 * road_id})
+    derived = base.selectExpr(
+        "*", f"cast((user_id * 7 + _ms div (600000 * (1 + user_id % 5))) % {ROADS} as int) as _road"
+    ).selectExpr("*", "50000 + 2500 * _road as road_size")
+    x, y = mirrored(F.expr("cast(_dist as int)"), F.expr("_k % 2"), F.lit(2))
     return derived.select(
         "_id",
-        F.concat(F.lit("road"), F.col("_road")).alias("road"),
-        (120 + 10 * F.col("_road")).alias("road_speed"),
+        F.expr("concat('road', _road) as road"),
+        F.expr("120 + 10 * _road as road_speed"),
         "road_size",
-        *mirrored(F.col("_dist").cast("int"), F.col("_k") % 2, F.lit(2)),
+        x,
+        y,
         "plate",
-        (F.lit(START).cast("double") + F.col("_ms").cast("double") / 1000).alias("time"),
+        F.expr(f"cast({START} as double) + cast(_ms as double) / 1000 as time"),
         "direction",
         *[c for c in base.columns if c in (SEG, COPY)],
     )
 
 
+def extent(events: DataFrame) -> tuple[int, float | None]:
+    """How many readings the events give and the latest time, without deriving them."""
+    since = f"cast(cast(max(ts) - {EPOCH} as interval second) as decimal(20,6))"
+    ms = f"cast({since} * 1000000 as bigint) div {MICROS_OF_MS}"
+    return tuple(events.selectExpr("count(1)", f"cast({START} as double) + cast({ms} as double) / 1000").first())
+
+
 def mirrored(x, y, lanes):
     """Backward traffic counts x from the far end and uses the lanes past ``lanes``."""
     forward = F.col("direction") == 1
